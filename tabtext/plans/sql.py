@@ -84,3 +84,37 @@ SPACE_RE = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]+"
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
+
+
+def _key_text(key: str = "vec_id") -> str:
+    u = unit("'key'", key)
+    v = f"CAST({key} AS VARCHAR)"
+    return f"CASE WHEN {u} < 0.02 THEN 'x' || {v} WHEN {u} < 0.10 THEN {v} || '.0' ELSE {v} END"
+
+
+def mod_raw(k: int) -> str:
+    rad = ", ".join(f"CAST(embedding[{16 * k + i + 1}] AS DOUBLE) AS rad_{i}" for i in range(16))
+    return (f"mr{k} AS (SELECT {_key_text()} AS case_id, CASE WHEN label % 2 = 0 THEN 'F' ELSE 'M' END AS sex, "
+            f"label + 30 AS age, 'm{k}' AS modality, {rad} FROM embeddings WHERE {present(k)})")
+
+
+def mod_clean(k: int) -> str:
+    rad = ", ".join(f"rad_{i} AS m{k}__rad_{i}" for i in range(16))
+    return (f"mc{k} AS (SELECT CAST(trunc(TRY_CAST(case_id AS DOUBLE)) AS BIGINT) AS case_id, {rad} "
+            f"FROM mr{k} WHERE TRY_CAST(case_id AS DOUBLE) IS NOT NULL)")
+
+
+RAD_MERGED = ",\n".join([mod_raw(k) for k in range(4)] + [mod_clean(k) for k in range(4)]) + """,
+rad AS (SELECT * FROM mc0 FULL JOIN mc1 USING (case_id) FULL JOIN mc2 USING (case_id) FULL JOIN mc3 USING (case_id))"""
+
+CASE_FRAME = CASES + ",\n" + RAD_MERGED + """,
+frame AS (SELECT c.*, r.* EXCLUDE (case_id) FROM cases c LEFT JOIN rad r ON r.case_id = c.case_id)"""
+
+RAD_FRAME = RAD_LABELS + ",\n" + RAD_MERGED + """,
+rframe AS (SELECT l.*, r.* EXCLUDE (case_id) FROM rad_labels l LEFT JOIN rad r ON r.case_id = l.case_id)"""
+
+RAD_COLS = [f"m{k}__rad_{i}" for k in range(4) for i in range(16)]
+
+
+def unpivot(src: str, name: str = "feature", value: str = "value") -> str:
+    return f"(UNPIVOT INCLUDE NULLS {src} ON COLUMNS('__rad_') INTO NAME {name} VALUE {value})"

@@ -103,16 +103,62 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
 
 
-def proba(spark: SparkSession, sf_dir: str, n_classes: int = 4) -> DataFrame:
-    """(case_id, y, p): labelled cases with md5-derived class scores summing to 1.
+def proba(spark: SparkSession, sf_dir: str, n_classes: int = 4, labelled_only: bool = True) -> DataFrame:
+    """(case_id, split, y, p): md5-derived class scores summing to 1.
 
-    ``y`` is the integer class code; ``p`` an array of ``n_classes`` doubles.
+    ``y`` is the integer class code (null when unlabelled); ``p`` an array of
+    ``n_classes`` doubles.
     """
-    c = cases(spark, sf_dir).filter(F.col("label").isNotNull())
+    c = cases(spark, sf_dir)
+    if labelled_only:
+        c = c.filter(F.col("label").isNotNull())
     raw = F.array(*[md5_unit(F.lit("p"), F.col("case_id"), F.lit(k)) for k in range(n_classes)])
-    total = F.aggregate(raw, F.lit(0.0), lambda a, x: a + x)
-    return c.select(
-        "case_id",
+    x = c.select("case_id", "split", "label", raw.alias("_raw"))
+    total = F.aggregate("_raw", F.lit(0.0), lambda a, v: a + v)
+    return x.select(
+        "case_id", "split",
         F.regexp_extract("label", r"(\d+)$", 1).cast("int").alias("y"),
-        F.transform(raw, lambda x: x / total).alias("p"),
+        F.transform("_raw", lambda v: v / total).alias("p"),
     )
+
+
+def radiomics_raw(spark: SparkSession, sf_dir: str, modality: int) -> DataFrame:
+    """CSV-shaped modality frame as a reader would return it: text case_id
+    (some written as '12.0', a few not numbers), sex, age, modality and
+    numeric rad_0..rad_15."""
+    e = table(spark, sf_dir, "embeddings").filter(_present(modality))
+    u = md5_unit(F.lit("key"), F.col("vec_id"))
+    vid = F.col("vec_id").cast("string")
+    key = (F.when(u < 0.02, F.concat(F.lit("x"), vid))
+           .when(u < 0.10, F.concat(vid, F.lit(".0"))).otherwise(vid))
+    return e.select(
+        key.alias("case_id"),
+        F.when(F.col("label") % 2 == 0, "F").otherwise("M").alias("sex"),
+        (F.col("label") + 30).alias("age"),
+        F.lit(f"m{modality}").alias("modality"),
+        *[F.col("embedding")[modality * BLOCK + i].cast("double").alias(f"rad_{i}") for i in range(BLOCK)],
+    )
+
+
+def case_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON case-map text per document: ``{"<doc_id>": {record}}``; report is
+    a string, or an object with / without ``finding`` (md5-chosen)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    lab = table(spark, sf_dir, "labels").select(
+        "doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("code"))
+    x = d.join(lab, "doc_id", "left")
+    u = md5_unit(F.lit("r"), F.col("doc_id"))
+    modalities = F.array_compact(F.array("lang", "source"))
+    plain = F.to_json(F.create_map(F.col("doc_id").cast("string"),
+                                   F.struct(F.col("text").alias("report"),
+                                            modalities.alias("available_modalities"),
+                                            class_name(F.col("code")).alias("Overall_class"))))
+    finding = F.to_json(F.create_map(F.col("doc_id").cast("string"),
+                                     F.struct(F.struct(F.col("text").alias("finding")).alias("report"),
+                                              modalities.alias("available_modalities"),
+                                              class_name(F.col("code")).alias("Overall_class"))))
+    other = F.to_json(F.create_map(F.col("doc_id").cast("string"),
+                                   F.struct(F.struct(F.col("text").alias("impression")).alias("report"),
+                                            class_name(F.col("code")).alias("Overall_class"))))
+    js = F.when(u < 0.1, other).when(u < 0.5, finding).otherwise(plain)
+    return x.select("doc_id", plain.alias("js_plain"), js.alias("js_mixed"))
