@@ -12,23 +12,24 @@ from tabtext.plans.registry import query
 from tabtext.sources import standins as si
 
 R6 = 6
-_TRAIN_LONG = S.unpivot("(SELECT * EXCLUDE (report) FROM frame WHERE split = 'train')")
+_TRAIN_CTE = "rtrain AS (SELECT * FROM rframe WHERE split = 'train')"
+_TRAIN_LONG = S.unpivot("rtrain")
 
 
-@query("median_cols", S.with_(S.CASE_FRAME) + f"""
+@query("median_cols", S.with_(S.RAD_FRAME, _TRAIN_CTE) + f"""
 SELECT feature AS column, median(value) AS median FROM {_TRAIN_LONG} GROUP BY feature""")
 def median_cols(spark, sf_dir):
     """G1: exact median of every radiomics column over the train split."""
-    fr = FR.case_frame(spark, sf_dir).filter("split = 'train'")
+    fr = FR.radiomics_frame(spark, sf_dir).filter("split = 'train'")
     return M.column_medians(fr, FR.RAD_COLS)
 
 
-@query("null_rate", S.with_(S.CASE_FRAME) + f"""
+@query("null_rate", S.with_(S.RAD_FRAME, _TRAIN_CTE) + f"""
 SELECT feature AS column, round(avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate
 FROM {_TRAIN_LONG} GROUP BY feature""")
 def null_rate(spark, sf_dir):
     """Null rate of every radiomics column over the train split (one pass)."""
-    fr = FR.case_frame(spark, sf_dir).filter("split = 'train'")
+    fr = FR.radiomics_frame(spark, sf_dir).filter("split = 'train'")
     return M.null_rates(fr, FR.RAD_COLS).withColumn("null_rate", F.round("null_rate", R6))
 
 
@@ -57,28 +58,30 @@ _RATES_CTE = f"""
 rates AS (SELECT feature, avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END) AS r FROM {_TRAIN_LONG} GROUP BY feature)"""
 
 
-@query("drop_sparse_cols", S.with_(S.CASE_FRAME, _RATES_CTE) + """
+@query("drop_sparse_cols", S.with_(S.RAD_FRAME, _TRAIN_CTE, _RATES_CTE) + """
 SELECT feature AS column, round(r, 6) AS null_rate, CAST(r > 0.40 AS INTEGER) AS dropped FROM rates""")
 def drop_sparse_cols(spark, sf_dir):
     """Radiomics columns with train null rate > 0.40 are dropped."""
-    fr = FR.case_frame(spark, sf_dir)
+    fr = FR.radiomics_frame(spark, sf_dir)
     rates = M.null_rate_map(fr.filter("split = 'train'"), FR.RAD_COLS)
     drop = set(M.sparse_columns(rates, 0.40))
     rows = [(c, round(float(rates[c]), R6), int(c in drop)) for c in FR.RAD_COLS]
     return spark.createDataFrame(rows, "column string, null_rate double, dropped int")
 
 
-@query("missing_indicators", S.with_(S.CASE_FRAME, _RATES_CTE) + f"""
+@query("missing_indicators", S.with_(S.RAD_FRAME, _TRAIN_CTE, _RATES_CTE) + f"""
 SELECT l.case_id, l.split, l.feature AS column, CAST(l.value IS NULL AS INTEGER) AS is_missing
-FROM {S.unpivot("(SELECT * EXCLUDE (report) FROM frame)")} l JOIN rates USING (feature)
+FROM {S.unpivot("rframe")} l JOIN rates USING (feature)
 WHERE r <= 0.40 AND r > 0.10""")
 def missing_indicators(spark, sf_dir):
     """For kept columns with train null rate > 0.10, the 0/1 indicator
     in every split (long form: case, column, is_missing)."""
-    fr = FR.case_frame(spark, sf_dir)
+    fr = FR.radiomics_frame(spark, sf_dir)
     rates = M.null_rate_map(fr.filter("split = 'train'"), FR.RAD_COLS)
     kept = [c for c in FR.RAD_COLS if c not in set(M.sparse_columns(rates, 0.40))]
     ind = M.indicator_columns({c: rates[c] for c in kept}, 0.10)
+    if not ind:
+        return spark.createDataFrame([], "case_id bigint, split string, column string, is_missing int")
     x = M.add_missing_indicators(fr.select("case_id", "split", *ind), ind)
     arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__is_missing").alias("is_missing")) for c in ind])
     return x.select("case_id", "split", F.inline(arr))
@@ -123,7 +126,8 @@ def imbalance_ratio(spark, sf_dir):
 # ----------------------------------------------------------------- ANOVA ----
 
 _ANOVA_SQL = S.with_(S.RAD_FRAME, f"""
-lg AS (SELECT * FROM {S.unpivot("(SELECT * FROM rframe WHERE split = 'train' AND label IS NOT NULL)")}),
+rlab AS (SELECT * FROM rframe WHERE split = 'train' AND label IS NOT NULL),
+lg AS (SELECT * FROM {S.unpivot("rlab")}),
 med AS (SELECT feature, median(value) AS m FROM lg GROUP BY feature),
 x AS (SELECT feature, label, coalesce(value, m) AS v FROM lg JOIN med USING (feature)),
 cls AS (SELECT feature, label, count(*) AS nk, avg(v) AS mk FROM x GROUP BY ALL),

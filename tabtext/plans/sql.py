@@ -66,13 +66,13 @@ def rad_wide(k: int) -> str:
 
 PROBA = f"""
 proba_raw AS (
-  SELECT case_id, CAST(regexp_extract(label, '(\\d+)$', 1) AS INTEGER) AS y,
+  SELECT case_id, split, CAST(regexp_extract(label, '(\\d+)$', 1) AS INTEGER) AS y,
          [{unit("'p'", 'case_id', '0')}, {unit("'p'", 'case_id', '1')},
           {unit("'p'", 'case_id', '2')}, {unit("'p'", 'case_id', '3')}] AS raw
   FROM cases WHERE label IS NOT NULL
 ),
 proba AS (
-  SELECT case_id, y, list_transform(raw, lambda x: x / list_sum(raw)) AS p FROM proba_raw
+  SELECT case_id, split, y, list_transform(raw, lambda x: x / list_sum(raw)) AS p FROM proba_raw
 )"""
 
 WORD_RE = r"[\p{L}\p{N}_]+"
@@ -117,4 +117,30 @@ RAD_COLS = [f"m{k}__rad_{i}" for k in range(4) for i in range(16)]
 
 
 def unpivot(src: str, name: str = "feature", value: str = "value") -> str:
-    return f"(UNPIVOT INCLUDE NULLS {src} ON COLUMNS('__rad_') INTO NAME {name} VALUE {value})"
+    """``src`` must be a table or CTE name."""
+    return f"(SELECT * FROM {src} UNPIVOT INCLUDE NULLS ({value} FOR {name} IN (COLUMNS('__rad_'))))"
+
+
+GRID = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.15, 1.2, 1.3, 1.35, 1.4, 1.5, 1.6, 1.65, 1.7, 1.8, 1.9, 2.0,
+        2.1, 2.2, 2.25, 2.3, 2.4, 2.5, 2.6, 2.7, 2.75, 2.8, 2.9, 3.0)
+
+
+def metrics_ctes(pred: str, group: str, focus: tuple[int, ...] = (1, 3)) -> str:
+    """CTEs conf, pc, summ over a relation ``pred`` with columns (group, y, pred)."""
+    n_focus = len(focus)
+    flist = ", ".join(str(f) for f in focus)
+    return f"""
+conf AS (SELECT {group}, y, pred, count(*) AS n FROM {pred} GROUP BY ALL),
+pc0 AS (SELECT {group}, cls, sum(t) AS support, sum(tp) AS tp, sum(pp) AS predicted FROM (
+          SELECT {group}, y AS cls, n AS t, CASE WHEN y = pred THEN n ELSE 0 END AS tp, 0 AS pp FROM conf
+          UNION ALL SELECT {group}, pred AS cls, 0 AS t, 0 AS tp, n AS pp FROM conf) GROUP BY ALL),
+pc AS (SELECT {group}, cls, tp, support, predicted,
+              CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
+              CASE WHEN predicted + support > 0 THEN 2 * tp / (predicted + support) ELSE 0.0 END AS f1
+       FROM pc0),
+summ AS (SELECT {group}, sum(tp) / sum(support) AS accuracy, avg(f1) AS macro_f1,
+                sum(f1 * support) / sum(support) AS weighted_f1,
+                sum(CASE WHEN cls IN ({flist}) THEN recall ELSE 0.0 END) / {n_focus} AS focus_recall
+         FROM pc GROUP BY {group}),
+score AS (SELECT *, accuracy AS micro_f1, 0.45 * accuracy + 0.35 * weighted_f1 + 0.20 * focus_recall AS blend FROM summ)"""
