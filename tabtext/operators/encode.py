@@ -37,7 +37,7 @@ class OneHotModel:
 
     def transform(self, df: DataFrame, out: str = "tab") -> DataFrame:
         """Adds ``out``: vector [numerics | dummies]; null or unseen level ->
-        all-zero block (StringIndexer keep + OneHotEncoder drop-last)."""
+        all-zero block."""
         idx_cols, vec_cols = [], []
         x = df
         for c in self.categorical:
@@ -47,7 +47,9 @@ class OneHotModel:
             idx_cols.append(f"__{c}_idx")
             vec_cols.append(f"__{c}_oh")
         if self.categorical:
-            enc = OneHotEncoder(inputCols=idx_cols, outputCols=vec_cols, dropLast=True, handleInvalid="keep")
+            # the indexer's "unknown" bucket (nulls, unseen levels) is its last
+            # category; drop-last removes it, so those rows get all zeros
+            enc = OneHotEncoder(inputCols=idx_cols, outputCols=vec_cols, dropLast=True, handleInvalid="error")
             x = enc.fit(x).transform(x)
         x = x.withColumns({c: F.col(c).cast("double") for c in self.numeric})
         va = VectorAssembler(inputCols=[*self.numeric, *vec_cols], outputCol=out, handleInvalid="keep")
