@@ -43,13 +43,18 @@ def with_terms(df: DataFrame, text: str, out: str, analyzer: str = "word",
 
 
 def term_rows(df: DataFrame, id_col: str, text: str, analyzer: str = "word",
-              ngram_range: tuple[int, int] = (1, 2), keep: list[str] | None = None) -> DataFrame:
+              ngram_range: tuple[int, int] = (1, 2), keep: list[str] | None = None,
+              terms_col: str | None = None) -> DataFrame:
     """Long form (id, *keep, term, n): distinct terms per row with counts.
 
-    Counting happens inside the row; the explode is narrow.
+    Counting happens inside the row; the explode is narrow. ``terms_col``
+    names an already computed term array (then ``text`` is not read).
     """
     keep = keep or []
-    x = with_terms(df.select(id_col, text, *keep), text, "_terms", analyzer, ngram_range)
+    if terms_col:
+        x = df.select(id_col, F.col(terms_col).alias("_terms"), *keep)
+    else:
+        x = with_terms(df.select(id_col, text, *keep), text, "_terms", analyzer, ngram_range)
     x = with_term_counts(x, "_terms", "_tc")
     # explode_outer + null filter: a plain explode makes the optimizer infer
     # size(_tc) > 0 and push it below the projections, re-inlining the sort
@@ -108,9 +113,12 @@ class TfidfModel:
         schema = "term string, idx int, df bigint, cf bigint, idf double"
         return spark.createDataFrame(rows, schema)
 
-    def transform(self, df: DataFrame, text: str, out: str) -> DataFrame:
+    def transform(self, df: DataFrame, text: str, out: str, terms_col: str | None = None) -> DataFrame:
         tmp_terms, tmp_tf, tmp_w = f"__{out}_terms", f"__{out}_tf", f"__{out}_w"
-        x = with_terms(df, text, tmp_terms, self.analyzer, self.ngram_range, self.lower)
+        if terms_col:
+            x = df.withColumn(tmp_terms, F.col(terms_col))
+        else:
+            x = with_terms(df, text, tmp_terms, self.analyzer, self.ngram_range, self.lower)
         if not self.terms:  # empty vocabulary: zero-width block
             return x.withColumn(out, array_to_vector(F.array().cast("array<double>"))).drop(tmp_terms)
         cv = CountVectorizerModel.from_vocabulary(self.terms, inputCol=tmp_terms, outputCol=tmp_tf)
@@ -122,9 +130,10 @@ class TfidfModel:
 
 def fit_tfidf(df: DataFrame, text: str, id_col: str, analyzer: str = "word",
               ngram_range: tuple[int, int] = (1, 2), min_df: int | float = 2,
-              max_features: int | None = None, name: str = "tfidf") -> TfidfModel:
+              max_features: int | None = None, name: str = "tfidf",
+              terms_col: str | None = None) -> TfidfModel:
     """Fit on the rows of ``df`` (the caller filters to the fit split, V5)."""
-    rows = term_rows(df, id_col, text, analyzer, ngram_range)
+    rows = term_rows(df, id_col, text, analyzer, ngram_range, terms_col=terms_col)
     n_docs = df.count()
     vocab = select_vocabulary(term_stats(rows), n_docs, min_df, max_features)
     got = sorted(vocab.collect(), key=lambda r: r["term"])

@@ -31,13 +31,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give row-heavy text work at least one partition per core. A large
+    input already has more file splits than cores and is left alone (no
+    shuffle); a small single-file table is redistributed round-robin."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def class_name(code: F.Column) -> F.Column:
     return F.when(code.isNotNull(), F.concat(F.lit("class_"), code.cast("string")))
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(case_id, split, report, label): one row per document."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     lab = table(spark, sf_dir, "labels").select(
         "doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("code"))
     return d.join(lab, "doc_id", "left").select(
