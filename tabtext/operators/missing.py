@@ -41,20 +41,21 @@ def exact_medians(long: DataFrame, keys: Sequence[str], value: str, cap: int = 1
     """(keys..., median): exact interpolated median per key, nulls/NaN skipped."""
     keys = list(keys)
     spark = long.sparkSession
-    v = (long.select(*keys, F.col(value).cast("double").alias("_v"))
-         .filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    v = v.persist(StorageLevel.MEMORY_AND_DISK)
+    x = long.select(*keys, F.col(value).cast("double").alias("_v"))
+    x = x.withColumn("_v", F.when(~F.isnan("_v"), F.col("_v")))  # NaN counts as missing
+    v = x.filter(F.col("_v").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        st = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-        state = {}
+        # every key, also those without any value (their median is null)
+        st = x.groupBy(*keys).agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        state, done = {}, {}
         for r in st.collect():  # one row per key (number of features)
             k = tuple(r[c] for c in keys)
             n = int(r["n"])
             state[k] = dict(n=n, lo=r["lo"], hi=r["hi"], below=0, cnt=n, k1=(n - 1) // 2, k2=n // 2)
-        done: dict[tuple, float] = {}
-        for k, s in state.items():
-            if s["lo"] == s["hi"]:
-                done[k] = float(s["lo"])
+            if n == 0:
+                done[k] = None
+            elif r["lo"] == r["hi"]:
+                done[k] = float(r["lo"])
         rounds = 0
         while True:
             pending = {k: s for k, s in state.items() if k not in done}

@@ -77,8 +77,9 @@ def anova(long: DataFrame, feature: str = "feature", value: str = "value", label
          .otherwise(msb / msw))
     out = s.select(feature, F.col("n").cast("bigint").alias("n"), F.col("k").cast("bigint").alias("k"),
                    f.alias("f_stat"))
-    return out.withColumn("p_value", f_pvalue(F.col("f_stat"), (F.col("k") - 1).cast("double"),
-                                              (F.col("n") - F.col("k")).cast("double")))
+    # the Arrow round trip of the UDF turns NaN into null: keep NaN explicit
+    p = f_pvalue(F.col("f_stat"), (F.col("k") - 1).cast("double"), (F.col("n") - F.col("k")).cast("double"))
+    return out.withColumn("p_value", F.when(F.isnan("f_stat"), F.lit(float("nan"))).otherwise(p))
 
 
 def anova_keep(stats: DataFrame, features: Sequence[str], p_threshold: float = 0.05,
