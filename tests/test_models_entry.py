@@ -1,5 +1,6 @@
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF0
 from tabtext.operators import models as MO
@@ -10,7 +11,9 @@ def _toy(spark):
     for i in range(60):
         c = i % 3
         rows.append((i, c, Vectors.dense([float(c) + (i % 5) * 0.01, float(i % 7), 1.0 if c == 2 else 0.0]), 1.0))
-    return spark.createDataFrame(rows, "case_id int, y int, features vector, weight double")
+    schema = T.StructType([T.StructField("case_id", T.IntegerType()), T.StructField("y", T.IntegerType()),
+                           T.StructField("features", VectorUDT()), T.StructField("weight", T.DoubleType())])
+    return spark.createDataFrame(rows, schema)
 
 
 def test_models_give_normalised_probabilities(spark):
