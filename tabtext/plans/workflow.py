@@ -15,6 +15,7 @@ as in the reference.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,25 +141,29 @@ def _labelled(frame: DataFrame, *splits: str) -> DataFrame:
     return frame.filter(F.col("split").isin(*splits) & F.col("y").isNotNull())
 
 
-def kfold(p: Prepared, rows: DataFrame, k: int, s: Settings) -> tuple[DataFrame, list[float]]:
+def kfold(p: Prepared, rows: DataFrame, k: int, s: Settings, workers: int | None = None) -> tuple[DataFrame, list[float]]:
     """Stratified k folds; each fold scored by a model fitted without
     it. Returns the out-of-fold scores and per-fold blend after per-fold
-    scale tuning."""
+    scale tuning. Folds are independent jobs submitted concurrently from
+    driver threads (the scheduler interleaves their stages)."""
     folds = cut_lineage(SA.stratified_folds(rows.select("case_id", "label"), k, s.seed))
     rows = rows.join(folds.select("case_id", "fold"), "case_id")
-    outs, blends = [], []
-    for i in range(k):
+
+    def one(i: int):
         fit_rows = rows.filter(F.col("fold") != i).drop("fold")
         val_rows = rows.filter(F.col("fold") == i).drop("fold")
         scored = cut_lineage(fit_score(p, fit_rows, val_rows, s, s.seed + i + 1))
         scales, _, _ = K.tune_scales(scored, len(p.labels), p.focus_ids)
         pred = scored.select("y", K.argmax(K.apply_scales(F.col("p"), scales)).alias("pred"))
-        blends.append(float(ME.summary(ME.confusion(pred), [], p.focus_ids).first()["blend"]))
-        outs.append(scored.withColumn("fold", F.lit(i)))
-    oof = outs[0]
-    for o in outs[1:]:
+        blend = float(ME.summary(ME.confusion(pred), [], p.focus_ids).first()["blend"])
+        return scored.withColumn("fold", F.lit(i)), blend
+
+    with ThreadPoolExecutor(max_workers=workers or k) as ex:
+        res = list(ex.map(one, range(k)))
+    oof = res[0][0]
+    for o, _ in res[1:]:
         oof = oof.unionByName(o)
-    return oof, blends
+    return oof, [b for _, b in res]
 
 
 def run(spark: SparkSession, sf_dir: str, s: Settings | None = None) -> dict:
@@ -170,33 +175,47 @@ def run(spark: SparkSession, sf_dir: str, s: Settings | None = None) -> dict:
     timings["prepare"] = time.time() - t0
     out: dict = {"diagnostics": p.diagnostics, "labels": p.labels, "focus_ids": p.focus_ids}
     cv_rows = _labelled(p.frame, "train", "val")
-    if s.run_cv:
-        t = time.time()
-        _, blends = kfold(p, cv_rows, s.cv_folds, s)
-        out["cv_scores"] = blends
-        timings["cv"] = time.time() - t
-    # fit on train, score validation
-    t = time.time()
-    val = cut_lineage(fit_score(p, _labelled(p.frame, "train"), _labelled(p.frame, "val"), s, s.seed))
-    val_scales, val_score, _ = K.tune_scales(val, len(p.labels), p.focus_ids)
-    out["val_scales"], out["val_tuned_score"] = val_scales, val_score
-    scales = val_scales
-    if s.run_oof:
+
+    # CV diagnostics, the validation fit, the OOF folds and the final refit
+    # are independent: run them concurrently
+    def cv():
+        return kfold(p, cv_rows, s.cv_folds, s)[1]
+
+    def val_fit():
+        v = cut_lineage(fit_score(p, _labelled(p.frame, "train"), _labelled(p.frame, "val"), s, s.seed))
+        return v, K.tune_scales(v, len(p.labels), p.focus_ids)
+
+    def oof_fit():
         oof, _ = kfold(p, cv_rows, s.oof_folds, s)
-        scales, oof_score, _ = K.tune_scales(cut_lineage(oof), len(p.labels), p.focus_ids)
-        out["oof_scales"], out["oof_score"] = scales, oof_score
-    timings["fit_val"] = time.time() - t
+        return K.tune_scales(cut_lineage(oof), len(p.labels), p.focus_ids)
+
+    def final_fit():
+        return cut_lineage(fit_score(p, _labelled(p.frame, "train", "val"), p.frame.filter("split = 'test'"),
+                                     s, s.seed))
+
+    t = time.time()
+    with ThreadPoolExecutor(max_workers=4) as ex:
+        f_cv = ex.submit(cv) if s.run_cv else None
+        f_val = ex.submit(val_fit)
+        f_oof = ex.submit(oof_fit) if s.run_oof else None
+        f_final = ex.submit(final_fit)
+        val, (val_scales, val_score, _) = f_val.result()
+        test = f_final.result()
+        if f_cv is not None:
+            out["cv_scores"] = f_cv.result()
+        out["val_scales"], out["val_tuned_score"] = val_scales, val_score
+        scales = val_scales
+        if f_oof is not None:
+            scales, oof_score, _ = f_oof.result()
+            out["oof_scales"], out["oof_score"] = scales, oof_score
+    timings["fits"] = time.time() - t
     vpred = val.select("y", K.argmax(K.apply_scales(F.col("p"), scales)).alias("pred"))
     conf = ME.confusion(vpred)
     out["val_metrics"] = ME.summary(conf, [], p.focus_ids)
     out["class_report"] = ME.class_report(conf)
     out["scales"] = {p.labels[i]: float(scales[i]) for i in p.focus_ids}
-    # refit on train + val, score test
-    t = time.time()
-    test = fit_score(p, _labelled(p.frame, "train", "val"), p.frame.filter("split = 'test'"), s, s.seed)
     test = test.withColumn("pred", K.argmax(K.apply_scales(F.col("p"), scales)))
     test = EN.decode_labels(test, p.labels, "pred", "pred_label")
     out["submission"] = FS.submission(test, "case_id", "pred_label", "Overall_class")
-    timings["final"] = time.time() - t
     out["timings"] = timings
     return out

@@ -29,6 +29,7 @@ def get_spark(master: str | None = None, app: str = "tabtext",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", os.environ.get("TABTEXT_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
