@@ -156,3 +156,40 @@ def tfidf_long(model: TfidfModel, df: DataFrame, id_col: str, text: str, keep: l
     vocab = F.broadcast(model.vocabulary_df(df.sparkSession).select("idx", "term"))  # bounded: vocabulary size
     return ent.join(vocab, "idx").select(id_col, *keep, "term", "tfidf")
 
+
+
+def fit_tfidf_folds(df: DataFrame, fold_col: str, k: int, text: str, id_col: str, analyzer: str = "word",
+                    ngram_range: tuple[int, int] = (1, 2), min_df: int | float = 2,
+                    max_features: int | None = None, name: str = "tfidf",
+                    terms_col: str | None = None) -> list[TfidfModel]:
+    """One vocabulary per fold, each fitted on the rows *outside* that fold.
+
+    Fold algebra: a single ``groupBy(fold, term)`` (map-side combined) gives
+    per-fold document / corpus frequencies; the training statistics of fold
+    i are the totals minus fold i's own. The per-fold table is persisted and
+    each fold then costs one bounded top-k selection, instead of k scans of
+    the term rows.
+    """
+    from pyspark import StorageLevel
+
+    rows = term_rows(df, id_col, text, analyzer, ngram_range, keep=[fold_col], terms_col=terms_col)
+    per_fold = term_stats(rows, [fold_col]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = {r[fold_col]: int(r["count"]) for r in df.groupBy(fold_col).count().collect()}  # k rows
+        total_docs = sum(sizes.values())
+        totals = per_fold.groupBy("term").agg(F.sum("df").alias("tdf"), F.sum("cf").alias("tcf"))
+        models = []
+        for i in range(k):
+            own = per_fold.filter(F.col(fold_col) == i).select("term", F.col("df").alias("odf"),
+                                                                 F.col("cf").alias("ocf"))
+            st = totals.join(own, "term", "left").select(
+                "term", (F.col("tdf") - F.coalesce("odf", F.lit(0))).alias("df"),
+                (F.col("tcf") - F.coalesce("ocf", F.lit(0))).alias("cf")).filter("df > 0")
+            n_docs = total_docs - sizes.get(i, 0)
+            got = sorted(select_vocabulary(st, n_docs, min_df, max_features).collect(), key=lambda r: r["term"])
+            models.append(TfidfModel(terms=[r["term"] for r in got], idf=[float(r["idf"]) for r in got],
+                                     df=[int(r["df"]) for r in got], cf=[int(r["cf"]) for r in got],
+                                     n_docs=n_docs, analyzer=analyzer, ngram_range=tuple(ngram_range), name=name))
+        return models
+    finally:
+        per_fold.unpersist()

@@ -109,31 +109,37 @@ def prepare(spark: SparkSession, sf_dir: str, s: Settings) -> Prepared:
     return Prepared(frame, numeric, categorical, labels, EN.focus_ids(labels, s.focus), onehot, diag)
 
 
-def featurize(p: Prepared, fit_rows: DataFrame, rows: DataFrame, s: Settings) -> DataFrame:
+def featurize(p: Prepared, fit_rows: DataFrame, rows: DataFrame, s: Settings, models=None) -> DataFrame:
     """[tabular one-hot | word TF-IDF | char TF-IDF] with vocabularies fitted
-    on ``fit_rows``; adds ``features`` to ``rows``."""
-    wm = TF.fit_tfidf(fit_rows, "report", "case_id", name="word", terms_col="word_terms", **s.word)
-    cm = TF.fit_tfidf(fit_rows, "report", "case_id", name="char", terms_col="char_terms", **s.char)
+    on ``fit_rows`` (or the given (word, char) models); adds ``features``."""
+    if models is None:
+        wm = TF.fit_tfidf(fit_rows, "report", "case_id", name="word", terms_col="word_terms", **s.word)
+        cm = TF.fit_tfidf(fit_rows, "report", "case_id", name="char", terms_col="char_terms", **s.char)
+    else:
+        wm, cm = models
     x = p.onehot.transform(rows, "tab")
     x = wm.transform(x, "report", "word", terms_col="word_terms")
     x = cm.transform(x, "report", "char", terms_col="char_terms")
     return EN.assemble(x, ["tab", "word", "char"], "features").drop("tab", "word", "char")
 
 
-def fit_score(p: Prepared, fit_rows: DataFrame, score_rows: DataFrame, s: Settings, seed: int) -> DataFrame:
+def fit_score(p: Prepared, fit_rows: DataFrame, score_rows: DataFrame, s: Settings, seed: int,
+              models=None) -> DataFrame:
     """Featurize, upsample the focus classes of the fit rows, weight, fit,
     and return ``score_rows`` with ``p`` / ``pred``."""
-    feats = featurize(p, fit_rows, fit_rows.unionByName(score_rows), s)
+    # one featurize pass over fit + score rows; a flag (not a join on the
+    # key) tells them apart afterwards, so the wide vectors never shuffle
+    both = fit_rows.withColumn("_fit", F.lit(True)).unionByName(score_rows.withColumn("_fit", F.lit(False)))
+    feats = featurize(p, fit_rows, both, s, models)
     feats = cut_lineage(feats.drop("word_terms", "char_terms", "report"))
-    fit_keys = fit_rows.select("case_id")
-    tr = feats.join(fit_keys, "case_id", "left_semi")
+    tr = feats.filter("_fit").drop("_fit")
     tr = SA.upsample_focus(tr, [p.labels[i] for i in p.focus_ids], seed=seed)
     tr = SA.balanced_weights(tr, "label", "weight")
     params = dict(s.model_params)
     if s.model == "mlp":
         params["n_features"] = len(tr.first()["features"])
     model = MO.fit_classifier(tr, s.model, len(p.labels), params)
-    sc = feats.join(score_rows.select("case_id"), "case_id", "left_semi")
+    sc = feats.filter(~F.col("_fit")).drop("_fit")
     return model.predict(sc).select("case_id", "split", "label", "y", "p", "pred")
 
 
@@ -148,11 +154,14 @@ def kfold(p: Prepared, rows: DataFrame, k: int, s: Settings, workers: int | None
     driver threads (the scheduler interleaves their stages)."""
     folds = cut_lineage(SA.stratified_folds(rows.select("case_id", "label"), k, s.seed))
     rows = rows.join(folds.select("case_id", "fold"), "case_id")
+    # every fold's vocabularies from one aggregation (fold algebra)
+    wms = TF.fit_tfidf_folds(rows, "fold", k, "report", "case_id", name="word", terms_col="word_terms", **s.word)
+    cms = TF.fit_tfidf_folds(rows, "fold", k, "report", "case_id", name="char", terms_col="char_terms", **s.char)
 
     def one(i: int):
         fit_rows = rows.filter(F.col("fold") != i).drop("fold")
         val_rows = rows.filter(F.col("fold") == i).drop("fold")
-        scored = cut_lineage(fit_score(p, fit_rows, val_rows, s, s.seed + i + 1))
+        scored = cut_lineage(fit_score(p, fit_rows, val_rows, s, s.seed + i + 1, (wms[i], cms[i])))
         scales, _, _ = K.tune_scales(scored, len(p.labels), p.focus_ids)
         pred = scored.select("y", K.argmax(K.apply_scales(F.col("p"), scales)).alias("pred"))
         blend = float(ME.summary(ME.confusion(pred), [], p.focus_ids).first()["blend"])

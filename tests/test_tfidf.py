@@ -36,3 +36,15 @@ def test_empty_vocabulary(spark):
     assert m.size == 0
     out = m.transform(df, "report", "v").collect()
     assert all(r["v"].size == 0 for r in out)
+
+
+def test_fold_algebra_equals_refit(spark):
+    from pyspark.sql import functions as F
+
+    c = si.cases(spark, SF0).select("case_id", "report").withColumn("fold", (F.col("case_id") % 3).cast("int"))
+    c = tf.with_terms(c, "report", "wt", "word", (1, 2))
+    models = tf.fit_tfidf_folds(c, "fold", 3, "report", "case_id", "word", (1, 2), 2, 300, terms_col="wt")
+    for i in range(3):
+        ref = tf.fit_tfidf(c.filter(F.col("fold") != i), "report", "case_id", "word", (1, 2), 2, 300)
+        assert models[i].terms == ref.terms and models[i].n_docs == ref.n_docs
+        assert all(abs(a - b) < 1e-12 for a, b in zip(models[i].idf, ref.idf))
