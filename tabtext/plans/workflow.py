@@ -31,7 +31,10 @@ from tabtext.operators import sampling as SA
 from tabtext.operators import stats as ST
 from tabtext.operators import tfidf as TF
 from tabtext.plans import frames as FR
+from tabtext.functions.hashing import hash_split
+from tabtext.operators.schema import drop_exact
 from tabtext.session import cut_lineage
+from tabtext.sources import cases as C
 from tabtext.sources import files as FS
 from tabtext.sources import standins as si
 
@@ -67,7 +70,10 @@ class Prepared:
 def prepare(spark: SparkSession, sf_dir: str, s: Settings) -> Prepared:
     """Stages 1-6: ingest, joins, ANOVA, missing rules, report features, fill."""
     diag: dict = {}
-    cases = si.cases(spark, sf_dir)
+    # stage 1: case JSON -> rows (report, label, n_modalities), split by key
+    js = C.explode_case_map(si.case_maps(spark, sf_dir).select("js_plain"), "js_plain")
+    cases = js.select("case_id", hash_split(F.col("case_id")).alias("split"), "report",
+                      F.col("Overall_class").alias("label"), "n_modalities")
     clinical = si.clinical(spark, sf_dir).drop("split")
     frame = cases.join(clinical, "case_id", "left").join(FR.radiomics_merged(spark, sf_dir), "case_id", "left")
     frame = cut_lineage(frame)  # the statistics passes below all read the joined rows
@@ -89,8 +95,10 @@ def prepare(spark: SparkSession, sf_dir: str, s: Settings) -> Prepared:
     ind = M.indicator_columns({c: rates[c] for c in kept}, s.indicator_missing)
     frame = M.add_missing_indicators(frame, ind)
     diag["dropped_sparse"], diag["indicators"] = len(sparse), len(ind)
-    # report features, then the fill with train medians
+    # report features, then the fill with train medians ('Sex' is dropped by
+    # exact name first, as in the reference)
     frame = tx.add_report_features(frame, "report")
+    frame = drop_exact(frame, ["Sex"])
     exclude = {"case_id", "split", "label", "report"}
     categorical = [c for c, t in frame.dtypes if t == "string" and c not in exclude]
     numeric = [c for c, t in frame.dtypes if t != "string" and c not in exclude]

@@ -153,7 +153,7 @@ def radiomics_raw(spark: SparkSession, sf_dir: str, modality: int) -> DataFrame:
 def case_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON case-map text per document: ``{"<doc_id>": {record}}``; report is
     a string, or an object with / without ``finding`` (md5-chosen)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     lab = table(spark, sf_dir, "labels").select(
         "doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("code"))
     x = d.join(lab, "doc_id", "left")
