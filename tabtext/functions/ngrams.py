@@ -74,7 +74,7 @@ def with_term_counts(df: DataFrame, terms: str, out: str) -> DataFrame:
     columns so the lambdas index materialised arrays (O(n log n) per row).
     """
     s, st = f"__{out}_s", f"__{out}_st"
-    df = df.withColumn(s, F.array_sort(F.col(terms)))
+    df = df.withColumn(s, F.sort_array(F.col(terms)))  # native ordering, no lambda comparator
     starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
                       lambda i: (i == 0) | (F.get(F.col(s), i) != F.get(F.col(s), i - 1)))
     df = df.withColumn(st, F.when(F.size(s) > 0, starts).otherwise(F.array().cast("array<int>")))
