@@ -194,10 +194,18 @@ def run(spark: SparkSession, sf_dir: str, s: Settings | None = None) -> dict:
     cv_rows = _labelled(p.frame, "train", "val")
 
     # CV diagnostics, the validation fit, the OOF folds and the final refit
-    # are independent: run them concurrently
+    # are independent: run them concurrently. CV and OOF use the same folds
+    # (same seed, rows, parameters and upsampling seeds), i.e. the same fits,
+    # so with equal fold counts the k fits are made once and serve both.
+    shared = s.run_cv and s.run_oof and s.cv_folds == s.oof_folds
+
     def cv():
         return kfold(p, cv_rows, s.cv_folds, s)[1]
 
+    def cv_and_oof():
+        oof, blends = kfold(p, cv_rows, s.cv_folds, s)
+        return blends, K.tune_scales(cut_lineage(oof), len(p.labels), p.focus_ids)
+
     def val_fit():
         v = cut_lineage(fit_score(p, _labelled(p.frame, "train"), _labelled(p.frame, "val"), s, s.seed))
         return v, K.tune_scales(v, len(p.labels), p.focus_ids)
@@ -212,16 +220,20 @@ def run(spark: SparkSession, sf_dir: str, s: Settings | None = None) -> dict:
 
     t = time.time()
     with ThreadPoolExecutor(max_workers=4) as ex:
-        f_cv = ex.submit(cv) if s.run_cv else None
+        f_both = ex.submit(cv_and_oof) if shared else None
+        f_cv = ex.submit(cv) if s.run_cv and not shared else None
         f_val = ex.submit(val_fit)
-        f_oof = ex.submit(oof_fit) if s.run_oof else None
+        f_oof = ex.submit(oof_fit) if s.run_oof and not shared else None
         f_final = ex.submit(final_fit)
         val, (val_scales, val_score, _) = f_val.result()
         test = f_final.result()
-        if f_cv is not None:
-            out["cv_scores"] = f_cv.result()
         out["val_scales"], out["val_tuned_score"] = val_scales, val_score
         scales = val_scales
+        if f_both is not None:
+            out["cv_scores"], (scales, oof_score, _) = f_both.result()
+            out["oof_scales"], out["oof_score"] = scales, oof_score
+        if f_cv is not None:
+            out["cv_scores"] = f_cv.result()
         if f_oof is not None:
             scales, oof_score, _ = f_oof.result()
             out["oof_scales"], out["oof_score"] = scales, oof_score
