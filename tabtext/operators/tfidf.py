@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tabtext.functions.ngrams import char_wb_ngrams, with_term_counts, with_word_ngrams
 
+BROADCAST_MAX_TERMS = 1_000_000
 WORD_DEFAULTS = dict(analyzer="word", ngram_range=(1, 2), min_df=2, max_features=2500)
 CHAR_DEFAULTS = dict(analyzer="char_wb", ngram_range=(3, 5), min_df=2, max_features=1200)
 
@@ -153,7 +154,9 @@ def tfidf_long(model: TfidfModel, df: DataFrame, id_col: str, text: str, keep: l
     keep = keep or []
     v = model.transform(df.select(id_col, text, *keep), text, "_v")
     ent = vector_entries(v, "_v", [id_col, *keep], "idx", "tfidf")
-    vocab = F.broadcast(model.vocabulary_df(df.sparkSession).select("idx", "term"))  # bounded: vocabulary size
+    vocab = model.vocabulary_df(df.sparkSession).select("idx", "term")
+    if model.size <= BROADCAST_MAX_TERMS:  # checked bound (max_features-limited vocabularies)
+        vocab = F.broadcast(vocab)
     return ent.join(vocab, "idx").select(id_col, *keep, "term", "tfidf")
 
 

@@ -40,7 +40,9 @@ def one_hot(spark, sf_dir):
     v = model.transform(clin, "tab")
     ent = tf.vector_entries(v, "tab", ["case_id"], "idx", "value").filter(F.col("idx") >= len(model.numeric))
     names = spark.createDataFrame(list(enumerate(model.feature_names)), "idx int, feature string")
-    return ent.join(F.broadcast(names), "idx").select("case_id", "feature", F.col("idx").cast("int").alias("idx"))
+    if len(model.feature_names) <= tf.BROADCAST_MAX_TERMS:  # checked bound on the dummy count
+        names = F.broadcast(names)
+    return ent.join(names, "idx").select("case_id", "feature", F.col("idx").cast("int").alias("idx"))
 
 
 _LABELS_CTE = """
