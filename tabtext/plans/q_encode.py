@@ -138,7 +138,7 @@ SELECT case_id, CAST({len(stats)} + vi.idx AS INTEGER), round(value, 6) FROM wn
 def hstack_offsets(spark, sf_dir):
     """[report statistics | word TF-IDF] assembled into one vector;
     non-zero entries with their offset index."""
-    c = si.cases(spark, sf_dir)
+    c = si.cases(spark, sf_dir, with_label=False)
     m = tf.fit_tfidf(c.filter("split = 'train'"), "report", "case_id", **tf.WORD_DEFAULTS)
     x = tx.report_stats(c.select("case_id", "report", F.col("report").alias("_text")))
     x = m.transform(x, "_text", "word")

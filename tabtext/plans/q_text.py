@@ -51,7 +51,7 @@ FROM r"""
 def keyword_flags(spark, sf_dir):
     """0/1 keyword flags (medical dictionary + a dictionary of words
     that occur in the fixture documents)."""
-    df = si.cases(spark, sf_dir).withColumn("report", tx.clean_report("report"))
+    df = si.cases(spark, sf_dir, with_label=False).withColumn("report", tx.clean_report("report"))
     df = tx.keyword_flags(df, "report", tx.MEDICAL_KEYWORDS)
     df = tx.keyword_flags(df, "report", tx.DOCUMENT_KEYWORDS)
     return df.select("case_id", "split", *tx.MEDICAL_KEYWORDS, *tx.DOCUMENT_KEYWORDS)
@@ -74,7 +74,7 @@ FROM r"""
 @query("keyword_interactions", _INTER_SQL)
 def keyword_interactions(spark, sf_dir):
     """Keyword hit sums and flag products, both dictionaries."""
-    df = tx.add_report_features(si.cases(spark, sf_dir), stats=False)
+    df = tx.add_report_features(si.cases(spark, sf_dir, with_label=False), stats=False)
     df = tx.add_report_features(df, patterns=tx.DOCUMENT_KEYWORDS, sums=tx.DOCUMENT_SUMS,
                                 products=tx.DOCUMENT_PRODUCTS, stats=False)
     return df.select("case_id", *tx.MEDICAL_SUMS, *tx.MEDICAL_PRODUCTS, *tx.DOCUMENT_SUMS, *tx.DOCUMENT_PRODUCTS)
@@ -110,14 +110,14 @@ tf AS (SELECT case_id, split, term, CAST(count(*) AS BIGINT) AS n FROM grams GRO
 @query("word_ngrams", S.with_(S.CASES, WORD_GRAMS_CTE) + "\nSELECT case_id, term, n FROM tf")
 def word_ngrams(spark, sf_dir):
     """V2: word 1-2-gram counts per case (tokens of >= 2 word characters)."""
-    return tf.term_rows(si.cases(spark, sf_dir), "case_id", "report", "word", (1, 2))
+    return tf.term_rows(si.cases(spark, sf_dir, with_label=False), "case_id", "report", "word", (1, 2))
 
 
 @query("char_wb_ngrams", S.with_(S.CASES, CHAR_GRAMS_CTE) + """
 SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(n) AS BIGINT) AS cf FROM tf GROUP BY term""")
 def char_wb_ngrams(spark, sf_dir):
     """V3 + G11: char_wb 3-5-gram document and corpus frequency over all cases."""
-    rows = tf.term_rows(si.cases(spark, sf_dir), "case_id", "report", "char_wb", (3, 5))
+    rows = tf.term_rows(si.cases(spark, sf_dir, with_label=False), "case_id", "report", "char_wb", (3, 5))
     return tf.term_stats(rows).select("term", F.col("df").cast("bigint").alias("df"),
                                       F.col("cf").cast("bigint").alias("cf"))
 
@@ -126,7 +126,7 @@ def char_wb_ngrams(spark, sf_dir):
 SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(n) AS BIGINT) AS cf FROM tf WHERE split = 'train' GROUP BY term""")
 def term_df(spark, sf_dir):
     """Word-term document / corpus frequency over the train split."""
-    rows = tf.term_rows(si.cases(spark, sf_dir).filter("split = 'train'"), "case_id", "report", "word", (1, 2))
+    rows = tf.term_rows(si.cases(spark, sf_dir, with_label=False).filter("split = 'train'"), "case_id", "report", "word", (1, 2))
     return tf.term_stats(rows).select("term", F.col("df").cast("bigint").alias("df"),
                                       F.col("cf").cast("bigint").alias("cf"))
 
@@ -145,7 +145,7 @@ SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx,
 def vocab_topk(spark, sf_dir):
     """O3 + V4: the fitted word vocabulary (min_df 2, top 2,500 by corpus
     frequency, alphabetical index) with smooth idf, fitted on train."""
-    train = si.cases(spark, sf_dir).filter("split = 'train'")
+    train = si.cases(spark, sf_dir, with_label=False).filter("split = 'train'")
     m = tf.fit_tfidf(train, "report", "case_id", **tf.WORD_DEFAULTS)
     return m.vocabulary_df(spark).withColumn("idf", F.round("idf", R6))
 
@@ -157,7 +157,7 @@ SELECT case_id, split, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY case_i
 
 
 def _tfidf_query(spark, sf_dir, defaults):
-    c = si.cases(spark, sf_dir)
+    c = si.cases(spark, sf_dir, with_label=False)
     m = tf.fit_tfidf(c.filter("split = 'train'"), "report", "case_id", **defaults)
     out = tf.tfidf_long(m, c, "case_id", "report", keep=["split"])
     return out.withColumn("tfidf", F.round("tfidf", R6))

@@ -45,9 +45,15 @@ def class_name(code: F.Column) -> F.Column:
     return F.when(code.isNotNull(), F.concat(F.lit("class_"), code.cast("string")))
 
 
-def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(case_id, split, report, label): one row per document."""
+def cases(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:
+    """(case_id, split, report, label): one row per document.
+
+    ``with_label=False`` skips the labels join (label is null) for text-only
+    work, so a large labels table can never cause a shuffle of the texts."""
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    if not with_label:
+        return d.select(F.col("doc_id").alias("case_id"), hash_split(F.col("doc_id")).alias("split"),
+                        F.col("text").alias("report"), F.lit(None).cast("string").alias("label"))
     lab = table(spark, sf_dir, "labels").select(
         "doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("code"))
     return d.join(lab, "doc_id", "left").select(
