@@ -39,10 +39,17 @@ from tabtext.sources import files as FS
 from tabtext.sources import standins as si
 
 
+DEFAULT_PARAMS = {
+    "rf": {"num_trees": 100, "max_depth": 15, "min_leaf": 2},
+    "gbt": MO.GBT_FIXED_PARAMS,
+    "mlp": {},
+}
+
+
 @dataclass
 class Settings:
     model: str = "rf"
-    model_params: dict = field(default_factory=lambda: {"num_trees": 100, "max_depth": 15, "min_leaf": 2})
+    model_params: dict | None = None   # None: the model's defaults below
     cv_folds: int = 5
     oof_folds: int = 5
     seed: int = 42
@@ -143,7 +150,7 @@ def fit_score(p: Prepared, fit_rows: DataFrame, score_rows: DataFrame, s: Settin
     tr = feats.filter("_fit").drop("_fit")
     tr = SA.upsample_focus(tr, [p.labels[i] for i in p.focus_ids], seed=seed)
     tr = SA.balanced_weights(tr, "label", "weight")
-    params = dict(s.model_params)
+    params = dict(s.model_params if s.model_params is not None else DEFAULT_PARAMS[s.model])
     if s.model == "mlp":
         params["n_features"] = len(tr.first()["features"])
     model = MO.fit_classifier(tr, s.model, len(p.labels), params)

@@ -58,3 +58,30 @@ def test_oof_each_case_once(spark):
     ids = [r["case_id"] for r in rows]
     assert len(ids) == len(set(ids)) and {r["fold"] for r in rows} <= set(range(5))
     assert df.filter(F.col("p_max") > 1.0).count() == 0
+
+
+def test_workflow_gbt_path(spark):
+    from tabtext.operators import models as MO
+    from tabtext.plans import workflow as W
+
+    s = W.Settings(model="gbt", model_params=dict(MO.GBT_FIXED_PARAMS, n_estimators=2), run_cv=False,
+                   run_oof=False)
+    out = W.run(spark, SF0, s)
+    sub = out["submission"].collect()
+    assert sub and all(r["Overall_class"] in out["labels"] for r in sub)
+    m = out["val_metrics"].first()
+    assert 0.0 <= m["blend"] <= 1.0
+
+
+def test_merge_modalities_strategies(spark):
+    from tabtext.operators import joins as J
+
+    a = spark.createDataFrame([(1, 1.0), (2, 2.0)], "case_id int, a double")
+    b = spark.createDataFrame([(2, 20.0), (3, 30.0)], "case_id int, b double")
+    j = sorted(tuple(r) for r in J.merge_modalities([a, b], strategy="join").collect())
+    u = sorted(tuple(r) for r in J.merge_modalities([a, b], strategy="union").select("case_id", "a", "b").collect())
+    assert j == u == [(1, 1.0, None), (2, 2.0, 20.0), (3, None, 30.0)]
+    assert J.keys_unique([a, b])
+    dup = a.unionByName(a)
+    assert not J.keys_unique([dup, b])
+    assert J.merge_modalities([dup, b], strategy="join").filter("case_id = 2").count() == 2  # SQL fan-out
