@@ -40,9 +40,9 @@ MEDICAL_PRODUCTS: dict[str, list[str]] = {
     "enhancement_x_edema": ["has_enhancement", "has_edema"],
     "hydrocephalus_x_ventricular": ["has_hydrocephalus", "has_ventricular"],
 }
-# reduced flag sets of the appendix scripts
-APPENDIX_A_FLAGS = ["has_enhancement", "has_edema", "has_hydrocephalus", "has_pineal", "has_sellar", "has_ventricular"]
-APPENDIX_B_FLAGS = ["has_enhancement", "has_edema", "has_hydrocephalus", "has_pineal", "has_sellar"]
+# reduced flag sets of the shorter workflow variants (stepwise / forest)
+REDUCED_FLAGS_STEPWISE = ["has_enhancement", "has_edema", "has_hydrocephalus", "has_pineal", "has_sellar", "has_ventricular"]
+REDUCED_FLAGS_FOREST = ["has_enhancement", "has_edema", "has_hydrocephalus", "has_pineal", "has_sellar"]
 # ---- end of fixed values ----
 
 # A second dictionary over words that occur in the fixture documents, so the
@@ -117,7 +117,7 @@ def add_report_features(df: DataFrame, col: str = "report",
                         stats: bool = True) -> DataFrame:
     """The whole report feature block in one projection.
 
-    ``stats=False`` gives the appendix variants (clean + flags only).
+    ``stats=False`` gives the shorter variants (clean + flags only).
     """
     df = report_stats(df, col) if stats else df.withColumn(col, clean_report(col))
     df = keyword_flags(df, col, patterns)
