@@ -8,8 +8,10 @@ on train + val -> scaled test predictions -> submission.
 
 The prepared table is checkpointed once (reliable folder) and every later
 stage reads it, so the CV loop neither re-runs the joins nor depends on a
-long lineage. Per fit set the vocabularies are refitted on that set's rows,
-as in the reference.
+long lineage. Each fit set gets vocabularies fitted on its own rows, as in
+the reference; for the k folds they come from one aggregation (totals minus
+the fold). CV diagnostics and OOF tuning share the k fold fits, and the
+independent fits run concurrently.
 """
 
 from __future__ import annotations
