@@ -78,19 +78,20 @@ def features(text: str, dim: int = DIM) -> np.ndarray:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 150) -> np.ndarray:
     """Linear SVM (squared hinge, class-balanced) by accelerated gradient descent; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
+    y = y.astype(np.float32)
     n = len(x)
-    cost = np.where(y > 0, n / (2 * max(1, (y > 0).sum())), n / (2 * max(1, (y < 0).sum()))) * c / n
-    v = np.ones(x.shape[1]) / np.sqrt(x.shape[1])
+    cost = (np.where(y > 0, n / (2 * max(1, (y > 0).sum())), n / (2 * max(1, (y < 0).sum()))) * c / n).astype(np.float32)
+    v = np.full(x.shape[1], x.shape[1] ** -0.5, np.float32)
     for _ in range(20):
         v = x.T @ (cost * (x @ v))
-        v /= np.linalg.norm(v) or 1.0
-    step = 1.0 / (1.0 + 2.2 * float(v @ (x.T @ (cost * (x @ v)))))
-    w = z = np.zeros(x.shape[1])
+        v /= np.linalg.norm(v) or 1
+    step = np.float32(1 / (1 + 2.2 * float(v @ (x.T @ (cost * (x @ v))))))
+    w = z = np.zeros(x.shape[1], np.float32)
     for k in range(rounds):
-        slack = np.maximum(0.0, 1.0 - y * (x @ z))
+        slack = np.maximum(0, 1 - y * (x @ z))
         new = z - step * (z - 2 * (x.T @ (cost * y * slack)))
-        z = new + k / (k + 3) * (new - w)
+        z = new + np.float32(k / (k + 3)) * (new - w)
         w = new
     return w
 
