@@ -3,6 +3,7 @@ per-worker caches and row-preserving ``mapInArrow`` columns."""
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -10,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,7 @@ def ship_by_value(module: str) -> None:
 ship_by_value(__name__)
 
 SEGMENT = 1 << 20  # bytes handled at once by the vectorised kernels
+BATCH_BYTES = 8 << 20
 
 
 def worker_cache() -> dict:
@@ -31,6 +33,19 @@ def worker_cache() -> dict:
     return m.__dict__.setdefault("items", {})
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most about BATCH_BYTES (a smaller setting stays), so that JVM vectors and
+    workers hold little even where rows are long. Holds for the session, since plans run later."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < _bytes(spark.conf.get(key)) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def _bytes(setting: str) -> int:
+    m = re.fullmatch(r"(-?\d+)([bkmgt]?)b?", setting.strip().lower())
+    return int(m[1]) * 1024 ** "bkmgt".index(m[2] or "b") if m else -1
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n+1 offsets of an Arrow string column, without copying; null is empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -143,6 +158,7 @@ def append_columns(df: DataFrame, source: str, fields: T.StructType,
     """``df`` plus columns that ``compute`` makes, batch by batch, from column ``source``. Rows keep
     all their columns; no join and no row identity is needed. Returns the frame and the new names
     (``prefix`` + field, lengthened when taken)."""
+    small_batches(df.sparkSession)
     names = {f.name: fresh_name(df, prefix + f.name) for f in fields}
     schema = T.StructType([*df.schema.fields, *(T.StructField(names[f.name], f.dataType) for f in fields)])
     at = df.columns.index(source)
@@ -163,6 +179,3 @@ def doc_chunks(offsets: np.ndarray, size: int = 4 * SEGMENT) -> Iterator[tuple[i
         yield i, min(j, n)
         i = min(j, n)
 
-
-def stringify(df: DataFrame, col: str):
-    return F.col(col).cast("string")

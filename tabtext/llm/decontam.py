@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabtext.llm.common import (HashSet64, doc_chunks, fresh_name, sequence_hashes, ship_by_value, text_buffers,
-                                word_hashes, worker_cache)
+from tabtext.llm.common import (HashSet64, doc_chunks, fresh_name, sequence_hashes, ship_by_value, small_batches,
+                                text_buffers, word_hashes, worker_cache)
 from tabtext.session import cut_lineage
 
 ship_by_value(__name__)
@@ -175,6 +175,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     """``docs`` with all its columns plus n_words, spans (hit word ranges, flat start/end pairs), items
     (distinct ids, as text) and hit; and the names these columns got."""
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")) \
         .where(F.col("t").isNotNull()).distinct()
     # upper bound of the windows: an item has at most one word for two bytes, and a window for each word

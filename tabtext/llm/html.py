@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabtext.llm.common import ship_by_value
+from tabtext.llm.common import ship_by_value, small_batches
 
 ship_by_value(__name__)
 
@@ -212,6 +212,7 @@ def extract(page: str | None) -> str:
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages``."""
+    small_batches(pages.sparkSession)
     src = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     kinds = dict(src.dtypes)
 

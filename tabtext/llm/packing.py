@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabtext.llm import tokens
-from tabtext.llm.common import ship_by_value
+from tabtext.llm.common import ship_by_value, small_batches
 
 ship_by_value(__name__)
 
@@ -116,6 +116,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
          vocabulary: str | None = None, stretch: int = STRETCH) -> DataFrame:
     """Packed rows of ``docs``. ``row_id`` is unique: partition * 2**33 + row. ``input_ids`` and
     ``position_ids`` are little-endian matrices rows of 16-bit (vocabularies under 65,536 ids) or 32-bit numbers."""
+    small_batches(docs.sparkSession)
     voc = tokens.load(docs.sparkSession, vocabulary)
     src = docs.select(F.col(doc_id).cast("bigint").alias("d"), F.col(text).alias("t"),
                       F.spark_partition_id().alias("p"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabtext.llm.common import SEGMENT, mix64, ship_by_value, text_buffers
+from tabtext.llm.common import SEGMENT, mix64, ship_by_value, small_batches, text_buffers
 from tabtext.session import cut_lineage
 
 ship_by_value(__name__)
@@ -291,6 +291,7 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(id, key, a, z): byte ranges to remove, possibly overlapping; see ``_keyed`` for id and key."""
     if keep not in ("none", "first"):
         raise ValueError(keep)
+    small_batches(docs.sparkSession)
     d = _keyed(docs, doc_id, text)
     long = d.where(F.octet_length("text") >= length)
     anchors = long.mapInArrow(_anchor_rows(length), "id bigint, key bigint, lo int, n int, h bigint, c bigint, inner boolean")

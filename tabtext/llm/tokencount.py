@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabtext.llm import tokens
-from tabtext.llm.common import ship_by_value
+from tabtext.llm.common import ship_by_value, small_batches
 from tabtext.session import cut_lineage, ensure_checkpoint_dir
 
 ship_by_value(__name__)
@@ -40,6 +40,7 @@ def _filesystem(uri: str):
 def write_flat(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text",
                vocabulary: str | None = None) -> DataFrame:
     """Write the flat files; returns (file, size in ids, ordinal, doc_id), one row per document in file order."""
+    small_batches(docs.sparkSession)
     voc = tokens.load(docs.sparkSession, vocabulary)
     src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
                       F.spark_partition_id().alias("file"))
