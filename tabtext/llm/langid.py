@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabtext.llm.common import append_columns, ship_by_value
+from tabtext.llm.common import append_columns, ship_by_value, small_batches
 
 ship_by_value(__name__)
 
@@ -156,24 +156,43 @@ def remainder(doc_id: str | Column) -> Column:
     return F.crc32(c.cast("string")) % 4
 
 
+def _below(k: int) -> Column:
+    """The k-th part of all hashes."""
+    return F.col("h") < -(1 << 63) + (1 << 64) // k if k > 1 else F.lit(True)
+
+
+def _any_of(cases) -> Column:
+    out = F.lit(False)
+    for lang, holds in cases:
+        out = out | ((F.col("l") == lang) & holds)
+    return out
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
         per_language: int = PER_LANGUAGE, dim: int = DIM) -> Model:
     """Train on rows whose remainder is not 2 and whose language is known."""
     d = docs.select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t"), remainder(doc_id).alias("r"),
                     F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("h")) \
         .where((F.col("r") != 2) & F.col("l").isNotNull() & (F.col("l") != "und") & F.col("t").isNotNull())
-    w = Window.partitionBy("l").orderBy("h")
-    # the window keeps per_language hashes of a language in each task before anything is shuffled
-    top = d.select("l", "h").withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_language) \
-        .groupBy("l").agg(F.max("h").alias("h")).limit(MAX_LANGUAGES + 1).collect()
-    if len(top) > MAX_LANGUAGES:
+    small_batches(docs.sparkSession)
+    counts = d.groupBy("l").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not top:
+    if not counts:
         return Model(np.zeros((0, dim), np.float32), [], dim)
-    bound = F.lit(False)
-    for r in top:
-        bound = bound | ((F.col("l") == r.l) & (F.col("h") <= r.h))
-    sample = d.where(bound).select("l", "t")
+    # hashes are uniform: about 4 * per_language rows of a language lie below its first border
+    border = {r.l: max(1, r["count"] // (4 * per_language)) for r in counts}
+    w = Window.partitionBy("l").orderBy("h")
+    while True:
+        low = d.select("l", "h").where(_any_of((r, _below(k)) for r, k in border.items()))
+        top = {r.l: r for r in low.withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_language)
+               .groupBy("l").agg(F.max("h").alias("h"), F.max("n").alias("n")).collect()}
+        short = [k for k in border if border[k] > 1 and (k not in top or top[k].n < per_language)]
+        if not short:
+            break
+        border |= {k: border[k] // 4 for k in short}
+    # equal rows have equal hashes; distinct ones bound the sample by per_language texts a language
+    sample = d.where(_any_of((k, F.col("h") <= r.h) for k, r in top.items())).select("l", "t").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
