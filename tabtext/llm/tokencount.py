@@ -154,5 +154,5 @@ def document_tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/flat-{uuid.uuid4().hex}"
     voc = tokens.read(vocabulary)
     order = cut_lineage(write_flat(docs, folder, doc_id, text, vocabulary))
-    return count_tokens(spark, folder, voc.eod, voc.dtype, block).join(order, ["file", "ordinal"]) \
+    return count_tokens(spark, folder, voc.eod, voc.dtype, block).join(order.hint("shuffle_merge"), ["file", "ordinal"]) \
         .select("doc_id", "file", "ordinal", "token_start", "n_tokens")
