@@ -297,14 +297,15 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     anchors = long.mapInArrow(_anchor_rows(length), "id bigint, key bigint, lo int, n int, h bigint, c bigint, inner boolean")
     often = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.max("inner").alias("i")) \
         .where((F.col("k") > 1) | F.col("i")).select("h")
-    found = cut_lineage(anchors.join(often, "h"))
+    # an aggregate written out joins through an exchange of its own, so that adaptive execution can split a hot anchor
+    found = cut_lineage(anchors.join(cut_lineage(often).hint("shuffle_merge"), "h"))
     # document order: key tells null ids apart, which come last
     ref = F.struct("id", "key", "lo", "n")
     classes = found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("copies"), F.min(ref).alias("ref"),
                                             F.max("inner").alias("inner"))
     kinds = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.max("inner").alias("i")) \
         .where((F.col("kinds") > 1) | F.col("i"))
-    unsettled = cut_lineage(classes.join(kinds, "h")
+    unsettled = cut_lineage(classes.join(cut_lineage(kinds), "h")
                             .select("h", "ref.*", (F.col("kinds") > max_pieces).alias("many")))
     same = classes.where(F.col("copies") > 1).select("h", "c", "ref")
     settled = found.join(same, ["h", "c"])
