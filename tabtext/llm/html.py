@@ -3,10 +3,11 @@
 Markup is stripped to lines, one for each text block. Elements that are boilerplate by their tag, role
 or name (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) and lines
 that are mostly links give empty lines. Text lengths are summed over sliding windows of ``WIDTH`` lines: a
-stretch of text starts where the sum surges above ``SURGE`` and ends where it dives to zero, and all lines
-between surge and dive are kept, short ones too. Inside an article or main element the stretch is the
-whole element, since its borders are the surge and the dive. Without one, a page whose sums never surge
-keeps its lines around the largest sum.
+stretch of text surges where the sum rises above ``SURGE`` and dives where it falls to zero. The main text is
+the innermost container (article, main, section, division, cell, body) that holds the peaks of all stretches
+(lines of ``SURGE`` or more characters, else a stretch's longest): its borders are the surge and the dive of the page, and all lines between are kept, short ones and those after
+an advert too, with a heading right in front of it. On a page with an article or main element only lines in
+these count. If no sum surges, the stretch around the largest sum decides.
 
 Null and empty pages have the empty text. Repeated pages give repeated rows.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +39,7 @@ BLOCKS = frozenset(("address article aside blockquote body caption center dd det
                     "nav ol p pre section summary table tbody td tfoot th thead title tr ul").split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"body", "html", "head"}
+CONTAINERS = frozenset("article main section div td body center fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # fixed values: words in class, id and role that name boilerplate
 NAMES = frozenset(("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar "
@@ -74,18 +77,26 @@ def _boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, bool, int]]:
-    """The page as lines: text (empty where markup or boilerplate stood), whether an article or main
-    element holds it, and how many of its characters are link text."""
-    out: list[tuple[str, bool, int]] = []
+class Line(NamedTuple):
+    text: str  # empty where markup or boilerplate stood
+    article: bool  # inside an article or main element
+    linked: int  # characters of link text
+    path: tuple[int, ...]  # open containers, outermost first
+    heading: bool
+
+
+def lines_of(page: str) -> list[Line]:
+    """The page as lines."""
+    out: list[Line] = []
     stack: list[tuple[str, bool]] = []  # open elements and whether each one starts boilerplate
     parts: list[str] = []
-    depth = article = links = linked = 0
+    path: list[int] = []
+    depth = article = links = linked = serial = 0
 
     def flush():
         nonlocal parts, linked
         text = " ".join(entities.unescape("".join(parts)).split())
-        out.append((text, article > 0, min(linked, len(text))))
+        out.append(Line(text, article > 0, min(linked, len(text)), tuple(path), any(x[0] in HEADINGS for x in stack[-3:])))
         parts, linked = [], 0
 
     def pop_to(k: int):
@@ -95,6 +106,8 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
             depth -= bad
             article -= tag in ("article", "main")
             links -= tag == "a"
+            if tag in CONTAINERS:
+                path.pop()
 
     at, n = 0, len(page)
     while at < n:
@@ -124,7 +137,7 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
                     pop_to(known)
                 else:
                     bad = stack.pop(known)
-                    depth -= bad[1]
+                    depth -= bad[1]  # never a container: those are blocks
                     links -= tag == "a"
             continue
         if tag == "br":
@@ -159,9 +172,12 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
             continue
         if bad and depth == 0:
             flush()
-            out.extend([("", article > 0, 0)] * WIDTH)  # boilerplate is a dive
+            out.extend([Line("", article > 0, 0, tuple(path), False)] * WIDTH)  # boilerplate is a dive
         stack.append((tag, bad))
         depth += bad
+        if tag in CONTAINERS:
+            serial += 1
+            path.append(serial)
         article += tag in ("article", "main")
         links += tag == "a"
     flush()
@@ -198,16 +214,32 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    if any(a and t for t, a, _ in lines):
-        keep = [t for t, a, _ in lines if a and t]
-        return "\n".join(keep)
-    lengths = [len(t) if t and 2 * k <= len(t) else 0 for t, _, k in lines]
+    inside = any(x.article and x.text for x in lines)
+    # a line of links is a menu, unless an article holds it
+    lengths = [len(x.text) if (x.article if inside else 2 * x.linked <= len(x.text)) else 0 for x in lines]
+    if not any(lengths):
+        return ""
     found = stretches(lengths)
-    if not found and any(lengths):
+    if not found:
         sums = block_sums(lengths)
         top = max(range(len(sums)), key=lambda i: (sums[i], -i))
-        found = [(top, top + WIDTH)]
-    return "\n".join(lines[i][0] for a, b in found for i in range(a, min(b, len(lines))) if lengths[i])
+        found = [(top, min(top + WIDTH, len(lines)))]
+    if inside:
+        return "\n".join(x.text for x, n in zip(lines, lengths) if n)
+    peaks = [i for a, z in found for i in range(a, z) if lengths[i] >= min(SURGE, max(lengths[a:z]))]
+    border = _shared([lines[i].path for i in peaks])
+    keep = [n > 0 and x.path[:len(border)] == border for x, n in zip(lines, lengths)]
+    first = keep.index(True)
+    before = next((i for i in range(first - 1, -1, -1) if lengths[i]), None)
+    if before is not None and lines[before].heading:
+        keep[before] = True
+    return "\n".join(x.text for x, k in zip(lines, keep) if k)
+
+
+def _shared(paths: list[tuple[int, ...]]) -> tuple[int, ...]:
+    a, z = min(paths), max(paths)
+    n = next((i for i, (x, y) in enumerate(zip(a, z)) if x != y), min(len(a), len(z)))
+    return a[:n]
 
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
