@@ -40,9 +40,6 @@ MEDICAL_PRODUCTS: dict[str, list[str]] = {
     "enhancement_x_edema": ["has_enhancement", "has_edema"],
     "hydrocephalus_x_ventricular": ["has_hydrocephalus", "has_ventricular"],
 }
-# reduced flag sets of the shorter workflow variants (stepwise / forest)
-REDUCED_FLAGS_STEPWISE = ["has_enhancement", "has_edema", "has_hydrocephalus", "has_pineal", "has_sellar", "has_ventricular"]
-REDUCED_FLAGS_FOREST = ["has_enhancement", "has_edema", "has_hydrocephalus", "has_pineal", "has_sellar"]
 # ---- end of fixed values ----
 
 # A second dictionary over words that occur in the fixture documents, so the

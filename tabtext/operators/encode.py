@@ -138,7 +138,3 @@ def slice_vector(df: DataFrame, vec: str, indices: Sequence[int], out: str) -> D
 def to_float_array(df: DataFrame, vec: str, out: str, dtype: str = "float32") -> DataFrame:
     """Vector -> array<float>."""
     return df.withColumn(out, vector_to_array(vec, dtype))
-
-
-def array_vector(df: DataFrame, arr: str, out: str) -> DataFrame:
-    return df.withColumn(out, array_to_vector(arr))

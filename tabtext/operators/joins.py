@@ -28,14 +28,15 @@ def merge_modalities(frames: Sequence[DataFrame], how: str = "full", key: str =
 
     * ``join``  - chained joins (``how``), SQL fan-out on duplicate keys.
     * ``union`` - one shuffle: union of the frames padded with nulls, then
-      ``groupBy(key)`` taking each column's non-null value. Equal to the full
-      outer join when every frame has at most one row per key (check with
-      ``keys_unique``); a key can then hold at most ``len(frames)`` rows, so
-      no group is large.
+      ``groupBy(key)`` taking each column's non-null value. That equals the
+      full outer join only when every frame has at most one row per key, which
+      is checked on the keys first; otherwise the joins are made.
     """
     if strategy == "union":
         if how != "full":
             raise ValueError("union strategy implements the full outer merge")
+        if not keys_unique(frames, key):
+            return merge_modalities(frames, how, key, "join")
         cols = [c for f in frames for c in f.columns if c != key]
         u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         return u.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
@@ -49,11 +50,6 @@ def keys_unique(frames: Sequence[DataFrame], key: str = "case_id") -> bool:
     return tagged.groupBy("_f", key).count().filter("count > 1").limit(1).count() == 0
 
 
-def join_optional(base: DataFrame, other: DataFrame | None, key: str = "case_id", how: str = "left") -> DataFrame:
-    """LEFT JOIN only when the optional table exists."""
-    return base if other is None else base.join(other, key, how)
-
-
 def lookup_vector(base: DataFrame, vectors: DataFrame, dim: int, key: str = "case_id",
                   vec_key: str = "vec_id", vec: str = "vec", out: str = "vec") -> DataFrame:
     """Dense vector per row by key, zeros(dim) when absent."""

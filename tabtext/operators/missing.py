@@ -37,8 +37,14 @@ def null_rate_map(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
 
 
 def exact_medians(long: DataFrame, keys: Sequence[str], value: str, cap: int = 100_000,
-                  buckets: int = 1024, max_rounds: int = 256) -> DataFrame:
-    """(keys..., median): exact interpolated median per key, nulls/NaN skipped."""
+                  buckets: int = 1024) -> DataFrame:
+    """(keys..., median): exact interpolated median per key, nulls/NaN skipped.
+
+    Infinite values count by their ranks; only the finite ones are searched.
+    Every round narrows: the two values that bound a range never share a
+    bucket on the even, linear scale (computed on halves, so no difference
+    overflows); the odd rounds use a logarithmic scale, which takes ranges
+    over many magnitudes in few steps."""
     keys = list(keys)
     spark = long.sparkSession
     x = long.select(*keys, F.col(value).cast("double").alias("_v"))
@@ -46,14 +52,22 @@ def exact_medians(long: DataFrame, keys: Sequence[str], value: str, cap: int = 1
     v = x.filter(F.col("_v").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # every key, also those without any value (their median is null)
-        st = x.groupBy(*keys).agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        fin = F.when(F.abs("_v") != float("inf"), F.col("_v"))
+        st = x.groupBy(*keys).agg(F.count("_v").alias("n"), F.min(fin).alias("lo"), F.max(fin).alias("hi"),
+                                  F.count(fin).alias("fin"), F.count_if(F.col("_v") == float("-inf")).alias("neg"))
         state, done = {}, {}
         for r in st.collect():  # one row per key (number of features)
             k = tuple(r[c] for c in keys)
             n = int(r["n"])
-            state[k] = dict(n=n, lo=r["lo"], hi=r["hi"], below=0, cnt=n, k1=(n - 1) // 2, k2=n // 2)
+            neg, m = int(r["neg"]), int(r["fin"])
+            k1, k2 = (n - 1) // 2 - neg, n // 2 - neg  # ranks among the finite values
+            state[k] = dict(n=n, lo=r["lo"], hi=r["hi"], below=0, cnt=m, k1=k1, k2=k2)
             if n == 0:
                 done[k] = None
+            elif k1 < 0 and k2 >= m:
+                done[k] = float("nan")
+            elif k1 < 0 or k2 >= m:
+                done[k] = float("-inf" if k1 < 0 else "inf")
             elif r["lo"] == r["hi"]:
                 done[k] = float(r["lo"])
         rounds = 0
@@ -61,14 +75,14 @@ def exact_medians(long: DataFrame, keys: Sequence[str], value: str, cap: int = 1
             pending = {k: s for k, s in state.items() if k not in done}
             if not pending:
                 break
-            small = {k: s for k, s in pending.items() if s["cnt"] <= cap or rounds >= max_rounds}
+            small = {k: s for k, s in pending.items() if s["cnt"] <= cap}
             big = {k: s for k, s in pending.items() if k not in small}
             if small:
                 done.update(_pick_small(spark, v, keys, small))
             if not big:
                 break
+            done.update(_narrow(spark, v, keys, big, buckets, log=rounds % 2 == 1))
             rounds += 1
-            done.update(_narrow(spark, v, keys, big, buckets))
         schema = ", ".join(f"`{c}` {t}" for c, t in long.select(*keys).dtypes) + ", median double"
         rows = [(*k, done.get(k)) for k in state]
         return spark.createDataFrame(rows, schema)
@@ -89,17 +103,23 @@ def _pick_small(spark, v, keys, sub):
     t, _ = _state_df(spark, keys, sub, v)
     cand = v.join(t, keys).filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
     agg = cand.groupBy(*keys, "below", "k1", "k2").agg(F.sort_array(F.collect_list("_v")).alias("vals"))
-    pick = agg.select(*keys, ((F.element_at("vals", (F.col("k1") - F.col("below") + 1).cast("int"))
-                               + F.element_at("vals", (F.col("k2") - F.col("below") + 1).cast("int"))) / 2.0)
+    pick = agg.select(*keys, (F.element_at("vals", (F.col("k1") - F.col("below") + 1).cast("int")) / 2.0
+                               + F.element_at("vals", (F.col("k2") - F.col("below") + 1).cast("int")) / 2.0)
                       .alias("median"))
     return {tuple(r[c] for c in keys): r["median"] for r in pick.collect()}
 
 
-def _narrow(spark, v, keys, sub, buckets):
+def _log(x):
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
+def _narrow(spark, v, keys, sub, buckets, log=False):
     t, _ = _state_df(spark, keys, sub, v)
     x = v.join(t, keys).filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
-    b = F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets),
-                F.lit(buckets - 1)).cast("int")
+    at = (lambda c: _log(F.col(c))) if log else (lambda c: F.col(c) / 2.0)
+    width = at("hi") - at("lo")
+    b = F.when(width > 0, F.least(F.floor((at("_v") - at("lo")) / width * buckets), F.lit(buckets - 1))) \
+        .otherwise(F.lit(0)).cast("int")
     h = x.withColumn("_b", b).groupBy(*keys, "below", "k1", "k2", "_b").agg(
         F.count(F.lit(1)).alias("c"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax"))
     w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,7 +142,7 @@ def _narrow(spark, v, keys, sub, buckets):
         else:
             r1 = next(r for r in rs if r["h1"])
             r2 = next(r for r in rs if r["h2"])
-            done[k] = (float(r1["bmax"]) + float(r2["bmin"])) / 2.0
+            done[k] = float(r1["bmax"]) / 2.0 + float(r2["bmin"]) / 2.0
     return done
 
 
@@ -142,7 +162,8 @@ def fill_missing(df: DataFrame, medians: Mapping[str, float | None], string_cols
     """Strings -> 'Unknown', report -> '', numerics -> the given (train)
     median; a null median leaves the column null. Keys and the label are
     simply not passed."""
-    exprs = {c: F.coalesce(F.col(c), F.lit(m).cast(dict(df.dtypes)[c])) for c, m in medians.items() if m is not None}
+    # whole-number columns become double: their median may be fractional
+    exprs = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(m))) for c, m in medians.items() if m is not None}
     exprs.update({c: F.coalesce(F.col(c), F.lit(unknown)) for c in string_cols})
     if report_col and report_col in df.columns:
         exprs[report_col] = F.coalesce(F.col(report_col), F.lit(""))

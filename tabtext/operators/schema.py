@@ -47,13 +47,21 @@ def try_numeric(col: str) -> F.Column:
     return F.expr(f"try_cast(`{col}` AS DOUBLE)")
 
 
-def align_to(reference_columns: Sequence[str], df: DataFrame) -> DataFrame:
-    """P10: add the reference's missing columns as nulls (typed like... the
-    caller's union resolves types) and order/limit to the reference."""
-    have = set(df.columns)
-    missing = [c for c in reference_columns if c not in have]
-    out = df.withColumns({c: F.lit(None) for c in missing}) if missing else df
-    return out.select(*reference_columns)
+def exact_id(col: str) -> F.Column:
+    """Whole-number text (``12``, ``12.0``, ``1e3``) -> bigint, exact over
+    the whole range; anything else -> null."""
+    return F.expr(
+        f"coalesce(try_cast(`{col}` AS BIGINT), "
+        f"try_cast(regexp_extract(`{col}`, '^\\\\s*([+-]?[0-9]+)[.]0*\\\\s*$', 1) AS BIGINT), "
+        f"CASE WHEN try_cast(`{col}` AS DOUBLE) = floor(try_cast(`{col}` AS DOUBLE)) "
+        f"AND abs(try_cast(`{col}` AS DOUBLE)) <= 9007199254740992D "
+        f"THEN try_cast(try_cast(`{col}` AS DOUBLE) AS BIGINT) END)")
+
+
+def truncated_id(col: str) -> F.Column:
+    """Numeric text -> bigint, fractions cut off; whole numbers stay exact."""
+    d = F.expr(f"try_cast(`{col}` AS DOUBLE)")
+    return F.coalesce(exact_id(col), F.when(F.abs(d) < F.lit(float(1 << 53)), d).try_cast("bigint"))
 
 
 def align_union(frames: dict[str, DataFrame], reference: str = "train",

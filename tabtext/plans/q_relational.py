@@ -58,47 +58,62 @@ def array_len(spark, sf_dir):
 _RAD = ", ".join(f"rad_{i}" for i in range(16))
 
 
-@query("prefix_project", S.with_(S.mod_raw(1)) + f"\nSELECT case_id, {_RAD} FROM mr1")
+_RAW = [S.mod_raw(k) for k in range(4)]
+
+
+def _raw_sql(select: str, where: str = "") -> str:
+    """One SELECT over each modality's raw table, stacked."""
+    return S.with_(*_RAW) + "\n" + "\nUNION ALL ".join(f"SELECT 'm{k}' AS file, {select} FROM mr{k}{where}" for k in range(4))
+
+
+def _raw(spark, sf_dir, body):
+    """``body`` applied to every modality's raw table, stacked with the file's name."""
+    parts = [body(si.radiomics_raw(spark, sf_dir, k)).select(F.lit(f"m{k}").alias("file"), "*") for k in range(si.N_MODALITIES)]
+    return P.union_splits(parts)
+
+
+@query("prefix_project", _raw_sql(f"case_id, {_RAD}"))
 def prefix_project(spark, sf_dir):
-    """Key + columns named rad_* of a modality file."""
-    return P.prefix_project(si.radiomics_raw(spark, sf_dir, 1))
+    """Key + columns named rad_* of every modality file."""
+    return _raw(spark, sf_dir, P.prefix_project)
 
 
-@query("drop_if_present", S.with_(S.mod_raw(1)) + f"\nSELECT case_id, sex, modality, {_RAD} FROM mr1")
+@query("drop_if_present", _raw_sql(f"case_id, sex, modality, {_RAD}"))
 def drop_if_present(spark, sf_dir):
-    """Exact-name drop of ['Sex', 'age', 'not_there'] from a frame that
-    holds both 'sex' and 'Sex' (only 'Sex' goes)."""
-    raw = si.radiomics_raw(spark, sf_dir, 1)
-    both = raw.select(*raw.columns, F.upper("sex").alias("Sex"))
-    return P.drop_exact(both, ["Sex", "age", "not_there"])
+    """Exact-name drop of ['Sex', 'age', 'not_there'] from frames that
+    hold both 'sex' and 'Sex' (only 'Sex' goes), every modality."""
+    return _raw(spark, sf_dir, lambda raw: P.drop_exact(
+        raw.select(*raw.columns, F.upper("sex").alias("Sex")), ["Sex", "age", "not_there"]))
 
 
-@query("try_numeric", S.with_(S.mod_raw(1)) + """
-SELECT case_id AS case_id_text, TRY_CAST(case_id AS DOUBLE) AS case_id_num,
-       CAST(trunc(TRY_CAST(case_id AS DOUBLE)) AS BIGINT) AS case_id_int FROM mr1""")
+@query("try_numeric", _raw_sql("""case_id AS case_id_text, TRY_CAST(case_id AS DOUBLE) AS case_id_num,
+       CAST(trunc(TRY_CAST(case_id AS DOUBLE)) AS BIGINT) AS case_id_int"""))
 def try_numeric(spark, sf_dir):
-    """Text key -> double (bad text -> null) -> bigint by truncation."""
-    raw = si.radiomics_raw(spark, sf_dir, 1)
-    num = P.try_numeric("case_id")
-    return raw.select(F.col("case_id").alias("case_id_text"), num.alias("case_id_num"),
-                      num.cast("bigint").alias("case_id_int"))
+    """Text key -> double (bad text -> null), and -> bigint, whole
+    numbers exact, fractions cut off; every modality."""
+    return _raw(spark, sf_dir, lambda raw: raw.select(
+        F.col("case_id").alias("case_id_text"), P.try_numeric("case_id").alias("case_id_num"),
+        P.truncated_id("case_id").alias("case_id_int")))
 
 
-@query("null_key_filter", S.with_(S.mod_raw(1)) + """
-SELECT case_id AS case_id_text, CAST(trunc(TRY_CAST(case_id AS DOUBLE)) AS BIGINT) AS case_id
-FROM mr1 WHERE TRY_CAST(case_id AS DOUBLE) IS NOT NULL""")
+@query("null_key_filter", _raw_sql("case_id AS case_id_text, CAST(trunc(TRY_CAST(case_id AS DOUBLE)) AS BIGINT) AS case_id",
+                                   " WHERE TRY_CAST(case_id AS DOUBLE) IS NOT NULL"))
 def null_key_filter(spark, sf_dir):
-    """Rows whose numeric key is null are dropped."""
-    raw = si.radiomics_raw(spark, sf_dir, 1)
-    x = raw.select(F.col("case_id").alias("case_id_text"), P.try_numeric("case_id").alias("k"))
-    return x.dropna(subset=["k"]).select("case_id_text", F.col("k").cast("bigint").alias("case_id"))
+    """Rows whose numeric key is null are dropped, every modality."""
+    return _raw(spark, sf_dir, lambda raw: raw.select(
+        F.col("case_id").alias("case_id_text"), P.truncated_id("case_id").alias("case_id")).dropna(subset=["case_id"]))
 
 
-@query("prefix_rename", S.with_(S.mod_raw(1), S.mod_clean(1)) + "\nSELECT * FROM mc1")
+@query("prefix_rename", S.with_(*_RAW, *[S.mod_clean(k) for k in range(4)]) + "\n" + "\nUNION ALL BY NAME ".join(
+    f"SELECT * FROM mc{k}" for k in range(4)))
 def prefix_rename(spark, sf_dir):
-    """P4 (+P1, P3, P5-P7): one cleaned modality file, features renamed
-    m1__rad_*."""
-    return FS.clean_modality_frame(si.radiomics_raw(spark, sf_dir, 1), "m1")
+    """P4 (+P1, P3, P5-P7): every cleaned modality file, features renamed
+    m<k>__rad_*, stacked by name."""
+    parts = [FS.clean_modality_frame(si.radiomics_raw(spark, sf_dir, k), f"m{k}") for k in range(si.N_MODALITIES)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 @query("label_mask", S.with_(S.CASES) + "\nSELECT case_id, split, label FROM cases WHERE label IS NOT NULL")
@@ -155,10 +170,12 @@ FROM clinical k LEFT JOIN cases c ON c.case_id = k.case_id""")
 def join_clinical_left(spark, sf_dir):
     """Clinical LEFT JOIN case rows (cases without a clinical row are
     lost, clinical rows without a case keep null report/label)."""
-    cases = si.cases(spark, sf_dir).drop("split")
+    cases = si.cases(spark, sf_dir, with_label=False) \
+        .select("case_id", F.char_length("report").cast("bigint").alias("report_len")) \
+        .join(si.labels_of(spark, sf_dir), "case_id", "left")
     j = J.join_clinical(si.clinical(spark, sf_dir), cases)
     return j.select("case_id", "split", "c_mktsegment", "o_orderpriority", "c_acctbal", "o_totalprice",
-                    "label", F.char_length("report").cast("bigint").alias("report_len"))
+                    "label", "report_len")
 
 
 _RAD_SQL = S.with_(S.RAD_MERGED) + "\nSELECT * FROM rad"

@@ -38,20 +38,25 @@ def _fill_sql() -> str:
     meds = ", ".join(f"median({c}) AS {c}" for c in S.RAD_COLS)
     return S.with_(S.CASE_FRAME, f"m AS (SELECT {meds} FROM frame WHERE split = 'train')") + f"""
 SELECT f.case_id, f.split, f.label, coalesce(f.report, '') = f.report AS had_report,
-       CAST(length(coalesce(f.report, '')) AS BIGINT) AS report_len, {cols}
-FROM frame f, m"""
+       CAST(length(coalesce(f.report, '')) AS BIGINT) AS report_len,
+       CAST(coalesce(CASE WHEN f.case_id % 3 > 0 THEN f.case_id END, i.x) AS DOUBLE) AS whole, coalesce(f.label, 'Unknown') AS grade, {cols}
+FROM frame f, m, (SELECT median(case_id) AS x FROM frame WHERE split = 'train' AND case_id % 3 > 0) i"""
 
 
 @query("fill_train_median", _fill_sql())
 def fill_train_median(spark, sf_dir):
-    """Numerics filled with the train median in all splits, report with
-    '', label untouched."""
-    fr = FR.case_frame(spark, sf_dir)
-    meds = M.median_map(fr.filter("split = 'train'"), FR.RAD_COLS)
+    """Numerics (a whole-number one among them) filled with the train
+    median in all splits, a string with 'Unknown', report with '', label
+    untouched. Reports become their lengths before any join."""
     had = (F.coalesce(F.col("report"), F.lit("")) == F.col("report")).alias("had_report")
-    filled = M.fill_missing(fr.select("*", had), meds, string_cols=[], report_col="report")
-    return filled.select("case_id", "split", "label", "had_report",
-                         F.char_length("report").cast("bigint").alias("report_len"), *FR.RAD_COLS)
+    cases = M.fill_missing(si.cases(spark, sf_dir, with_label=False).select("*", had), {}) \
+        .select("case_id", "split", "had_report", F.char_length("report").cast("bigint").alias("report_len"))
+    fr = cases.join(si.labels_of(spark, sf_dir), "case_id", "left") \
+        .join(FR.radiomics_merged(spark, sf_dir), "case_id", "left") \
+        .withColumn("whole", F.when(F.col("case_id") % 3 > 0, F.col("case_id"))).withColumn("grade", F.col("label"))
+    meds = M.median_map(fr.filter("split = 'train'"), ["whole", *FR.RAD_COLS])
+    return M.fill_missing(fr, meds, string_cols=["grade"]) \
+        .select("case_id", "split", "label", "had_report", "report_len", "whole", "grade", *FR.RAD_COLS)
 
 
 _RATES_CTE = f"""

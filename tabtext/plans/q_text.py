@@ -30,7 +30,8 @@ FROM r"""
 def report_stats(spark, sf_dir):
     """Cleaned report length, word / unique-word counts, ratio, digit
     and punctuation counts for every case."""
-    df = tx.report_stats(si.cases(spark, sf_dir))
+    df = tx.report_stats(si.cases(spark, sf_dir, with_label=False)).drop("report", "label")
+    df = df.join(si.labels_of(spark, sf_dir), "case_id", "left")
     return df.select("case_id", "split", "label", "report_len", "report_word_count",
                      "report_unique_word_count", F.round("report_unique_ratio", R6).alias("report_unique_ratio"),
                      "report_digit_count", "report_punct_count")

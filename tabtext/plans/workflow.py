@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tabtext.functions import text as tx
 from tabtext.operators import calibrate as K
 from tabtext.operators import encode as EN
+from tabtext.operators import joins as J
 from tabtext.operators import metrics as ME
 from tabtext.operators import missing as M
 from tabtext.operators import models as MO
@@ -42,7 +43,7 @@ from tabtext.sources import standins as si
 
 
 DEFAULT_PARAMS = {
-    "rf": {"num_trees": 100, "max_depth": 15, "min_leaf": 2},
+    "rf": MO.RF_PARAMS,
     "gbt": MO.GBT_FIXED_PARAMS,
     "mlp": {},
 }
@@ -83,8 +84,8 @@ def prepare(spark: SparkSession, sf_dir: str, s: Settings) -> Prepared:
     js = C.explode_case_map(si.case_maps(spark, sf_dir).select("js_plain"), "js_plain")
     cases = js.select("case_id", hash_split(F.col("case_id")).alias("split"), "report",
                       F.col("Overall_class").alias("label"), "n_modalities")
-    clinical = si.clinical(spark, sf_dir).drop("split")
-    frame = cases.join(clinical, "case_id", "left").join(FR.radiomics_merged(spark, sf_dir), "case_id", "left")
+    # clinical LEFT JOIN cases: a clinical row without a case keeps a null report and label
+    frame = J.join_clinical(si.clinical(spark, sf_dir), cases.drop("split")).join(FR.radiomics_merged(spark, sf_dir), "case_id", "left")
     frame = cut_lineage(frame)  # the statistics passes below all read the joined rows
     t = time.time()
     rad = FR.RAD_COLS

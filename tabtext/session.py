@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset; a cluster needs a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tabtext-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -3,14 +3,12 @@
 
 from __future__ import annotations
 
-import glob
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabtext.operators.schema import drop_exact, prefix_columns
+from tabtext.operators.schema import drop_exact, prefix_columns, truncated_id
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -46,24 +44,21 @@ def clean_modality_frame(df: DataFrame, modality: str, key: str = "case_id",
     feats = [c for c in df.columns if c.startswith(feature_prefix)]
     if not feats:
         return None
-    num = F.expr(f"try_cast(`{key}` AS DOUBLE)")
-    out = df.select(num.alias(key), *[F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) for c in feats])
-    out = out.filter(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("bigint"))
+    out = df.select(truncated_id(key).alias(key), *[F.expr(f"try_cast(`{c}` AS DOUBLE)").alias(c) for c in feats])
+    out = out.filter(F.col(key).isNotNull())
     return prefix_columns(out, feats, f"{modality}__")
 
 
-def list_modality_files(directory: str, split: str) -> list[tuple[str, str]]:
+def list_modality_files(spark: SparkSession, directory: str, split: str) -> list[tuple[str, str]]:
     """Sorted (modality, path) for ``*_radiomics_{split}.csv``.
-    Driver-side listing of a directory (a handful of files)."""
-    if not os.path.isdir(directory):
-        return []
+    The folder is listed through its Hadoop file system (a handful of names);
+    an absent folder has no files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(path)] if fs.exists(path) else []
     pat = re.compile(rf"^(.*)_radiomics_{re.escape(split)}\.csv$")
-    out = []
-    for p in sorted(glob.glob(os.path.join(directory, f"*_radiomics_{split}.csv"))):
-        m = pat.match(os.path.basename(p))
-        if m:
-            out.append((m.group(1), p))
-    return out
+    named = sorted((p.getName(), p.toString()) for p in found if pat.match(p.getName()))
+    return [(pat.match(name).group(1), full) for name, full in named]
 
 
 def read_radiomics_split(spark: SparkSession, directory: str, split: str,
@@ -74,7 +69,7 @@ def read_radiomics_split(spark: SparkSession, directory: str, split: str,
     from tabtext.operators.joins import merge_modalities
 
     frames = []
-    for modality, path in list_modality_files(directory, split):
+    for modality, path in list_modality_files(spark, directory, split):
         raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
         clean = clean_modality_frame(raw, modality)
         if clean is not None:
@@ -90,10 +85,10 @@ def submission(df: DataFrame, key: str = "case_id", pred: str = "pred",
     return df.select(F.col(key).cast("string").alias("case_id"), F.col(pred).alias(target))
 
 
-def write_csv(df: DataFrame, directory: str, single_file: bool = True) -> str:
-    """CSV with header, overwrite. ``single_file`` coalesces to one
-    part file (the submission is one row per test case - small); big outputs
-    keep their partitioning."""
-    out = df.coalesce(1) if single_file else df
+def write_csv(df: DataFrame, directory: str, single_file: bool = False) -> str:
+    """CSV with header, overwrite; parts as partitioned. ``single_file``
+    is for small outputs: one task writes them, after a shuffle, so the work
+    before stays parallel."""
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(directory)
     return directory

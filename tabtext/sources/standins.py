@@ -64,6 +64,12 @@ def cases(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFram
     )
 
 
+def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(case_id, label) of the labelled documents, for joins to rows that carry no text."""
+    code = F.col("quality") * 2 + F.col("toxic")
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("case_id"), class_name(code).alias("label"))
+
+
 def clinical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clinical-style table: one row per order with customer attributes."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
@@ -79,32 +85,6 @@ def _present(modality: int) -> F.Column:
     return md5_unit(F.lit(f"m{modality}"), F.col("vec_id")) >= F.lit(MODALITY_ABSENT_SHARE[modality])
 
 
-def radiomics_modality(spark: SparkSession, sf_dir: str, modality: int) -> DataFrame:
-    """Wide radiomics table of one modality: case_id, rad_0..rad_15."""
-    e = table(spark, sf_dir, "embeddings")
-    return e.filter(_present(modality)).select(
-        F.col("vec_id").alias("case_id"),
-        *[F.col("embedding")[modality * BLOCK + i].cast("double").alias(f"rad_{i}") for i in range(BLOCK)],
-    )
-
-
-def radiomics_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long radiomics rows (case_id, modality, feature, value)."""
-    e = table(spark, sf_dir, "embeddings")
-    x = e.select("vec_id", F.posexplode("embedding").alias("pos", "v"))
-    m = (F.col("pos") / BLOCK).cast("int")
-    x = x.withColumn("m", m)
-    present = F.lit(False)
-    for k in range(N_MODALITIES):
-        present = present | ((F.col("m") == k) & _present(k))
-    return x.filter(present).select(
-        F.col("vec_id").alias("case_id"),
-        F.concat(F.lit("m"), F.col("m").cast("string")).alias("modality"),
-        F.concat(F.lit("rad_"), (F.col("pos") % BLOCK).cast("string")).alias("feature"),
-        F.col("v").cast("double").alias("value"),
-    )
-
-
 def radiomics_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(case_id, split, label) for the radiomics cases."""
     e = table(spark, sf_dir, "embeddings")

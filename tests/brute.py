@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
 
+import numpy as np
+
 
 def word_terms(text: str, lo: int = 1, hi: int = 2) -> list[str]:
     toks = re.findall(r"(?u)\b\w\w+\b", (text or "").lower())
@@ -17,20 +20,11 @@ def word_terms(text: str, lo: int = 1, hi: int = 2) -> list[str]:
 
 
 def char_wb_terms(text: str, lo: int = 3, hi: int = 5) -> list[str]:
-    text = re.sub(r"\s\s+", " ", (text or "").lower())
-    grams = []
-    for w in text.split():
-        w = " " + w + " "
-        wl = len(w)
-        for n in range(lo, hi + 1):
-            off = 0
-            grams.append(w[off:off + n])
-            while off + n < wl:
-                off += 1
-                grams.append(w[off:off + n])
-            if off == 0:
-                break
-    return grams
+    """Each word with a space on both sides, cut into all windows of each length; lengths beyond the
+    padded word count only as the shortest one, which then holds the whole of it."""
+    padded = [f" {w} " for w in (text or "").lower().split()]
+    return [p[i:i + n] for p in padded for n in range(lo, hi + 1) if n <= max(lo, len(p))
+            for i in range(max(1, len(p) - n + 1))]
 
 
 def tfidf(fit_docs: dict, apply_docs: dict, analyzer, min_df=2, max_features=None):
@@ -87,30 +81,35 @@ def argmax(v):
 
 
 def apply_scales(p, s):
-    a = [x * y for x, y in zip(p, s)]
-    d = sum(a)
-    d = 1.0 if d <= 0 else d
-    return [x / d for x in a]
+    a = np.multiply(p, s)
+    return (a / (a.sum() if a.sum() > 0 else 1.0)).tolist()
 
 
-def tune_scales(y, proba, focus, grid, rounds=4):
-    k = len(proba[0])
-    scales = [1.0] * k
-    best = f1_metrics(y, [argmax(r) for r in proba], focus)["blend"]
-    if not focus:
-        return scales, best
-    for _ in range(rounds):
-        improved = False
+def score_of(y, proba, scales, focus):
+    return f1_metrics(y, [argmax(apply_scales(r, scales)) for r in proba], focus)["blend"]
+
+
+def with_value(scales, c, g):
+    return [*scales[:c], g, *scales[c + 1:]]
+
+
+def best_value(y, proba, scales, focus, c, grid):
+    """(score, value) of the best grid value of one class; the first of equals."""
+    found = max((score_of(y, proba, with_value(scales, c, g), focus), -i) for i, g in enumerate(grid))
+    return found[0], grid[-found[1]]
+
+
+def rounds_of(y, proba, focus, grid):
+    """(scales, score) after each round over the focus classes, endlessly."""
+    now = [1.0] * len(proba[0])
+    score = score_of(y, proba, now, focus)
+    while True:
         for c in focus:
-            best_local = scales[c]
-            for g in grid:
-                t = list(scales)
-                t[c] = g
-                pred = [argmax(apply_scales(r, t)) for r in proba]
-                sc = f1_metrics(y, pred, focus)["blend"]
-                if sc > best:
-                    best, best_local, improved = sc, g, True
-            scales[c] = best_local
-        if not improved:
-            break
-    return scales, best
+            top, g = best_value(y, proba, now, focus, c, grid)
+            now, score = (with_value(now, c, g), top) if top > score else (now, score)
+        yield now, score
+
+
+def tune_scales(y, proba, focus, grid, rounds=4):
+    """The state after ``rounds`` rounds, or after the first one that gains nothing (later ones gain nothing either)."""
+    return list(itertools.islice(rounds_of(y, proba, focus, grid), rounds))[-1]

@@ -24,6 +24,27 @@ def test_exact_median_narrowing_path_matches_numpy(spark):
         assert (got[f] is None) if want is None else abs(got[f] - want) < 1e-12, f
 
 
+def test_exact_median_of_extreme_values(spark):
+    inf, big = float("inf"), 1.5e308
+    sets = {"inf": [inf, -inf, 1.0], "infs": [inf, inf, -inf, 2.0, 3.0], "huge": [big, -big, big, -big, 1.0, 2.0],
+            "low": [-inf, -inf, 5.0], "both": [-inf, inf], "top": [big, big * 1.1], "scale": [10.0 ** e for e in range(-300, 300, 7)]}
+    rows = [(k, v) for k, vs in sets.items() for v in vs]
+    df = spark.createDataFrame(rows, "feature string, value double")
+    for cap, buckets in ((100, 1024), (1, 4)):
+        got = {r["feature"]: r["median"] for r in M.exact_medians(df, ["feature"], "value", cap=cap, buckets=buckets).collect()}
+        for k, vs in sets.items():
+            s = sorted(vs)
+            a, b = s[(len(s) - 1) // 2], s[len(s) // 2]
+            want = a if a == b else a / 2 + b / 2
+            assert got[k] == want or math.isnan(got[k]) and math.isnan(want) or abs(got[k] - want) <= 1e-15 * abs(want), k
+
+
+def test_whole_number_columns_take_fractional_medians(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "x int")
+    out = M.fill_missing(df, M.median_map(df, ["x"]), [], None)
+    assert sorted(r["x"] for r in out.collect()) == [1.0, 2.0, 2.5, 3.0, 4.0]
+
+
 def test_null_rates_fill_and_indicators(spark):
     df = spark.createDataFrame([(1, "train", 1.0, None, None), (2, "train", None, "a", "r"), (3, "val", None, None, None),
                                 (4, "train", 3.0, None, "s")], "case_id int, split string, x double, s string, report string")

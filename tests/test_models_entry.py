@@ -1,3 +1,4 @@
+import pytest
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,4 +85,35 @@ def test_merge_modalities_strategies(spark):
     assert J.keys_unique([a, b])
     dup = a.unionByName(a)
     assert not J.keys_unique([dup, b])
-    assert J.merge_modalities([dup, b], strategy="join").filter("case_id = 2").count() == 2  # SQL fan-out
+    for strategy in ("join", "union"):
+        assert J.merge_modalities([dup, b], strategy=strategy).filter("case_id = 2").count() == 2  # SQL fan-out
+
+
+def test_depth_beyond_the_bound_is_an_error():
+    with pytest.raises(ValueError):
+        MO.rf_model(max_depth=31)
+
+
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_texts_do_not_shuffle(spark):
+    """No exchange of these plans carries the text, also where no side is broadcast."""
+    from tabtext.plans.registry import QUERIES, load_all
+
+    load_all()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("report_stats", "join_clinical_left", "fill_train_median"):
+            plan = QUERIES[name](spark, SF0)._jdf.queryExecution().optimizedPlan()
+            joins = [n for n in _nodes(plan) if n.nodeName() == "Join"]
+            assert joins
+            for j in joins:
+                for side in (j.left(), j.right()):
+                    wide = [side.output().apply(i).name() for i in range(side.output().size())]
+                    assert not {"report", "text", "js_plain"} & set(wide), (name, wide)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

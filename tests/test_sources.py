@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabtext.operators import schema as P
@@ -20,12 +21,12 @@ def test_case_json_defaults_keys_and_unwrap(spark, tmpdir_path):
               ' "": {"report": "empty key"},'
               ' "3": {"report": {"impression": "no finding"}, "Overall_class": "M"},'
               ' "4": {}}')
-    rows = {r["case_id"]: r for r in C.read_case_json(spark, p, unwrap_finding=True).collect()}
+    rows = {r["case_id"]: r for r in C.read_case_json(spark, p, unwrap_finding=True, bad_keys="drop").collect()}
     assert set(rows) == {1, 2, 3, 4}
     assert rows[1]["report"] == "A b" and rows[1]["n_modalities"] == 2 and rows[1]["Overall_class"] == "G"
     assert rows[2]["report"] == "F text" and rows[2]["Overall_class"] is None
     assert rows[3]["report"] == "" and rows[4]["report"] == "" and rows[4]["n_modalities"] == 0
-    plain = {r["case_id"]: r for r in C.read_case_json(spark, p).collect()}
+    plain = {r["case_id"]: r for r in C.read_case_json(spark, p, bad_keys="drop").collect()}
     assert '"finding"' in plain[2]["report"]  # not unwrapped in the main-pipeline form
 
 
@@ -39,7 +40,20 @@ def test_split_routing(spark, tmpdir_path):
 
 def test_event_props_json_without_numeric_keys(spark):
     df = spark.createDataFrame([('{"k": 69}',)], "props string")
-    assert C.explode_case_map(df, "props").count() == 0
+    assert C.explode_case_map(df, "props", bad_keys="drop").count() == 0
+    with pytest.raises(Exception, match="no whole number"):
+        C.explode_case_map(df, "props").collect()
+
+
+def test_ids_are_exact(spark):
+    df = spark.createDataFrame([('{"9007199254740993": {}, "9007199254740992.0": {}, "9223372036854775807": {}}',)], "js string")
+    assert sorted(r["case_id"] for r in C.explode_case_map(df, "js").collect()) == [2 ** 53, 2 ** 53 + 1, 2 ** 63 - 1]
+    for bad in ("1.7", "abc", "9223372036854775808"):
+        df = spark.createDataFrame([('{"%s": {}}' % bad,)], "js string")
+        with pytest.raises(Exception, match="no whole number"):
+            C.explode_case_map(df, "js").collect()
+    rad = spark.createDataFrame([("9007199254740993", 1.0), ("9007199254740992", 2.0), ("2.7", 3.0), ("q", 4.0)], "case_id string, rad_a double")
+    assert sorted(r["case_id"] for r in FS.clean_modality_frame(rad, "m").collect()) == [2, 2 ** 53, 2 ** 53 + 1]
 
 
 def test_optional_clinical_csv(spark, tmpdir_path):
@@ -58,7 +72,7 @@ def test_radiomics_directory_scan(spark, tmpdir_path):
     _write(os.path.join(d, "nokey_radiomics_train.csv"), "id,rad_a\n1,1\n")
     _write(os.path.join(d, "nofeat_radiomics_train.csv"), "case_id,age\n1,1\n")
     _write(os.path.join(d, "other_radiomics_val.csv"), "case_id,rad_a\n1,1\n")
-    assert [m for m, _ in FS.list_modality_files(d, "train")] == ["ax t1", "ax t2", "nofeat", "nokey"]
+    assert [m for m, _ in FS.list_modality_files(spark, d, "train")] == ["ax t1", "ax t2", "nofeat", "nokey"]
     df = FS.read_radiomics_split(spark, d, "train")
     assert set(df.columns) == {"case_id", "ax t1__rad_a", "ax t1__rad_b", "ax t2__rad_a"}
     rows = {r["case_id"]: r.asDict() for r in df.collect()}
