@@ -301,8 +301,8 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = cut_lineage(anchors.join(cut_lineage(often).hint("shuffle_merge"), "h"))
     # document order: key tells null ids apart, which come last
     ref = F.struct("id", "key", "lo", "n")
-    classes = found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("copies"), F.min(ref).alias("ref"),
-                                            F.max("inner").alias("inner"))
+    classes = cut_lineage(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("copies"), F.min(ref).alias("ref"),
+                                                       F.max("inner").alias("inner")))
     kinds = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.max("inner").alias("i")) \
         .where((F.col("kinds") > 1) | F.col("i"))
     unsettled = cut_lineage(classes.join(cut_lineage(kinds), "h")
