@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabtext.operators import calibrate as K
 from tabtext.operators import metrics as ME
+from tabtext.operators import tuning as TU
 from tabtext.plans import sql as S
 from tabtext.plans.registry import query
 from tabtext.sources import standins as si
@@ -143,12 +144,64 @@ def best_trial(spark, sf_dir):
     return b.select("gi", "g", F.round("score", R6).alias("score"))
 
 
-@query("tune_scales")
+def _blend_sql(src: str, scale: str, group: str) -> str:
+    """Blend per ``group`` of ``src`` (y, p, ...), p[i] weighted by the SQL expression ``scale``."""
+    return f"""(WITH sc AS (SELECT {group}, y, list_transform(range(1, 5), lambda i: p[i] * {scale}) AS a FROM {src}),
+nm AS (SELECT {group}, y, list_transform(a, lambda x: x / CASE WHEN list_sum(a) <= 0 THEN 1.0 ELSE list_sum(a) END) AS q FROM sc),
+pred AS (SELECT {group}, y, list_position(q, list_max(q)) - 1 AS pred FROM nm),
+{S.metrics_ctes("pred", group)}
+SELECT {group}, round(blend, 12) AS score FROM score)"""
+
+
+def _tune_sql() -> str:
+    """The coordinate ascent, one CTE pair per (round, class); a round without gain leaves the state as it is."""
+    grid = ", ".join(f"{g!r}::DOUBLE" for g in S.GRID)
+    ctes = [f"grid AS (SELECT unnest([{grid}]) AS g, unnest(range(0, {len(S.GRID)})) AS gi)",
+            f"""st0 AS MATERIALIZED (SELECT [1.0, 1.0, 1.0, 1.0]::DOUBLE[] AS s, score
+FROM {_blend_sql("(SELECT 0 AS one, y, p FROM proba)", "1.0", "one")})"""]
+    k = 0
+    for _ in range(4):
+        for c in FOCUS_IDS:
+            k += 1
+            src = f"(SELECT gi, g, y, p, s FROM proba, grid, st{k - 1})"
+            ctes.append(f"sw{k} AS MATERIALIZED {_blend_sql(src, f'CASE WHEN i = {c + 1} THEN g ELSE s[i] END', 'gi')}")
+            new = ", ".join("b.g" if i == c else f"s[{i + 1}]" for i in range(4))
+            ctes.append(f"""st{k} AS MATERIALIZED (
+SELECT CASE WHEN b.score > st.score THEN [{new}] ELSE s END AS s, greatest(b.score, st.score) AS score
+FROM st{k - 1} st, (SELECT g, score FROM sw{k} JOIN grid USING (gi) ORDER BY score DESC, gi LIMIT 1) b)""")
+    return S.with_(S.CASES, S.PROBA, *ctes) + f"""
+SELECT CAST(i - 1 AS INTEGER) AS cls, s[i] AS scale, round(score, 6) AS score
+FROM st{k}, (SELECT unnest(range(1, 5)) AS i)"""
+
+
+@query("tune_scales", _tune_sql())
 def tune_scales(spark, sf_dir):
-    """K4: coordinate ascent of the focus-class scales on the scored
-    validation-like table (rows-only check; loop checked against brute force
-    in the tests)."""
+    """K4: coordinate ascent of the focus-class scales on the scored table."""
     p = si.proba(spark, sf_dir)
     scales, best, trace = K.tune_scales(p, 4, FOCUS_IDS)
     rows = [(i, float(s)) for i, s in enumerate(scales)]
     return spark.createDataFrame(rows, "cls int, scale double").withColumn("score", F.round(F.lit(best), R6))
+
+
+TRIALS = 40
+
+
+def _trial_sql() -> str:
+    box = ", ".join(f"0.5 + 2.5 * {S.unit(repr('42'), 'trial', repr(f'scale_{c}'))} AS scale_{c}" for c in FOCUS_IDS)
+    scale = " ".join(f"WHEN i = {c + 1} THEN scale_{c}" for c in FOCUS_IDS)
+    return S.with_(S.CASES, S.PROBA, f"trials AS (SELECT trial, {box} FROM range({TRIALS}) t(trial))", f"""
+ledger AS (SELECT trial, scale_1, scale_3, score FROM trials JOIN
+{_blend_sql("proba, trials", f"CASE {scale} ELSE 1.0 END", "trial")} USING (trial)),
+st AS (SELECT avg(score) AS m, stddev_pop(score) AS s FROM ledger),
+top AS (SELECT trial AS t FROM ledger ORDER BY score DESC, trial LIMIT 1)""") + """
+SELECT trial, round(scale_1, 6) AS scale_1, round(scale_3, 6) AS scale_3, round(score, 6) AS score,
+       round((score - m) / CASE WHEN s < 1e-8 THEN 1.0 ELSE s END, 6) AS z, CAST(trial = t AS INTEGER) AS best
+FROM ledger, st, top"""
+
+
+@query("trial_search", _trial_sql())
+def trial_search(spark, sf_dir):
+    """40 random candidates of the focus-class scales scored by blend on the whole scored table in
+    one job; ledger with standardised scores and the best trial."""
+    led = TU.scale_search(si.proba(spark, sf_dir), TRIALS, 4, FOCUS_IDS)
+    return led.select("trial", *[F.round(c, R6).alias(c) for c in ("scale_1", "scale_3", "score", "z")], "best")

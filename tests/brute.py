@@ -86,7 +86,7 @@ def apply_scales(p, s):
 
 
 def score_of(y, proba, scales, focus):
-    return f1_metrics(y, [argmax(apply_scales(r, scales)) for r in proba], focus)["blend"]
+    return round(f1_metrics(y, [argmax(apply_scales(r, scales)) for r in proba], focus)["blend"], 12)
 
 
 def with_value(scales, c, g):
