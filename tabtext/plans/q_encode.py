@@ -6,14 +6,12 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tabtext.functions import text as tx
 from tabtext.operators import calibrate as K
 from tabtext.operators import encode as EN
 from tabtext.operators import tfidf as tf
 from tabtext.plans import frames as FR
 from tabtext.plans import q_stats
 from tabtext.plans import sql as S
-from tabtext.plans.q_text import WORD_GRAMS_CTE, _vocab_sql
 from tabtext.plans.registry import query
 from tabtext.sources import standins as si
 
@@ -109,45 +107,6 @@ def vec_to_array(spark, sf_dir):
         "vec_id", "pos", F.col("v").cast("double").alias("value"))
 
 
-_STAT_COLS = ["report_len", "report_word_count", "report_unique_word_count", "report_unique_ratio",
-              "report_digit_count", "report_punct_count"]
-
-
-def _hstack_sql() -> str:
-    r = f"lower(coalesce(report, ''))"
-    stats = [
-        f"CAST(length({r}) AS DOUBLE)",
-        f"CAST(len(regexp_extract_all({r}, '{S.WORD_RE}')) AS DOUBLE)",
-        f"CAST(len(list_distinct(regexp_extract_all({r}, '{S.WORD_RE}'))) AS DOUBLE)",
-        f"len(list_distinct(regexp_extract_all({r}, '{S.WORD_RE}'))) / greatest(len(regexp_extract_all({r}, '{S.WORD_RE}')), 1)",
-        f"CAST(len(regexp_extract_all({r}, '{S.DIGIT_RE}')) AS DOUBLE)",
-        f"CAST(len(regexp_extract_all({r}, '{S.PUNCT_RE}')) AS DOUBLE)",
-    ]
-    tab = " UNION ALL ".join(f"SELECT case_id, {i} AS idx, {e} AS value FROM cases" for i, e in enumerate(stats))
-    return _vocab_sql(WORD_GRAMS_CTE, 2500) + f""",
-vi AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM voc),
-w AS (SELECT tf.case_id, tf.term, tf.n * voc.idf AS w FROM tf JOIN voc USING (term)),
-wn AS (SELECT case_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY case_id)) AS value FROM w),
-tab AS ({tab})
-SELECT case_id, CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM tab WHERE value <> 0
-UNION ALL
-SELECT case_id, CAST({len(stats)} + vi.idx AS INTEGER), round(value, 6) FROM wn JOIN vi USING (term)"""
-
-
-@query("hstack_offsets", _hstack_sql())
-def hstack_offsets(spark, sf_dir):
-    """[report statistics | word TF-IDF] assembled into one vector;
-    non-zero entries with their offset index."""
-    c = si.cases(spark, sf_dir, with_label=False)
-    m = tf.fit_tfidf(c.filter("split = 'train'"), "report", "case_id", **tf.WORD_DEFAULTS)
-    x = tx.report_stats(c.select("case_id", "report", F.col("report").alias("_text")))
-    x = m.transform(x, "_text", "word")
-    x = x.withColumns({s: F.col(s).cast("double") for s in _STAT_COLS})
-    v = EN.assemble(x, [*_STAT_COLS, "word"], "features")
-    ent = tf.vector_entries(v, "features", ["case_id"], "idx", "value")
-    return ent.select("case_id", F.col("idx").cast("int").alias("idx"), F.round("value", R6).alias("value"))
-
-
 @query("topk_importance", q_stats._ANOVA_SQL + """
 ORDER BY f_stat DESC, feature ASC LIMIT 20""")
 def topk_importance(spark, sf_dir):

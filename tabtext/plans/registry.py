@@ -29,5 +29,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so that the registry is filled."""
     from tabtext.plans import (  # noqa: F401
-        q_text, q_relational, q_stats, q_encode, q_sampling, q_metrics, q_models,
+        q_text, q_relational, q_stats, q_encode, q_matrix, q_sampling, q_metrics, q_models,
     )
