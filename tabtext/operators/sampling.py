@@ -30,7 +30,7 @@ def stratified_folds(df: DataFrame, k: int = 5, seed: int = 42, label: str = "la
 
 
 def upsample_focus(df: DataFrame, focus: Sequence[str], seed: int = 42, label: str = "label",
-                   key: str = "case_id", copy_col: str = "copy") -> DataFrame:
+                   key: str | Sequence[str] = "case_id", copy_col: str = "copy") -> DataFrame:
     """B2: rows of each focus class are topped up, with replacement, to
     ``max(3 n_k, median class count)``; originals are kept (``copy`` 0),
     draw j of class c picks rank ``md5(seed|c|j) mod n_c + 1`` in key order.
@@ -60,11 +60,25 @@ def upsample_focus(df: DataFrame, focus: Sequence[str], seed: int = 42, label: s
                                          F.least((F.col("_chunk") + 1) * DRAW_CHUNK, F.col("extra")))).alias(copy_col))
     draws = draws.select(label, copy_col,
                          (F.pmod(md5_u32(F.lit(str(seed)), F.col(label), F.col(copy_col)), F.col("n")) + 1).alias("_rn"))
-    ranked = row_number_within(df.filter(F.col(label).isin(*focus)), [label], [key], out="_rn")
+    order = [key] if isinstance(key, str) else list(key)
+    ranked = row_number_within(df.filter(F.col(label).isin(*focus)), [label], order, out="_rn")
     extra_rows = ranked.join(draws, [label, "_rn"]).drop("_rn")
     return base.unionByName(extra_rows.select(*base.columns))
 
 
+def upsample_wide(df: DataFrame, focus: Sequence[str], seed: int = 42, label: str = "label",
+                  key: str = "case_id", copy_col: str = "copy") -> DataFrame:
+    """B2 for rows that hold feature vectors: the rows of ``upsample_focus``, ranked and drawn on (key, label)
+    alone. Draws are counted per row first, so a row drawn often costs one joined row and is repeated in place.
+    ``df`` must read a materialised table (checkpoint): equal keys are told apart by the position in it."""
+    x = df.withColumn("_row", F.monotonically_increasing_id())
+    drawn = upsample_focus(x.select(key, "_row", label), focus, seed, label, [key, "_row"], "_j")
+    extra = drawn.filter("_j > 0").groupBy("_row").agg(F.count(F.lit(1)).alias("_extra"))
+    x = x.join(extra, "_row", "left")
+    last = F.coalesce("_extra", F.lit(0).cast("bigint"))
+    return x.withColumn(copy_col, F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("_row", "_extra")
+
+
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """``N / (K n_k)`` per row; the class table has K rows."""
     counts = {r[label]: int(r["n"]) for r in class_counts(df, label).collect()}  # K rows

@@ -17,9 +17,10 @@ Plan shape:
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
@@ -160,39 +161,70 @@ def tfidf_long(model: TfidfModel, df: DataFrame, id_col: str, text: str, keep: l
     return ent.join(vocab, "idx").select(id_col, *keep, "term", "tfidf")
 
 
+def fit_tfidf_sets(df: DataFrame, group: str, sets: Mapping[str, Sequence], text: str, id_col: str,
+                   analyzer: str = "word", ngram_range: tuple[int, int] = (1, 2), min_df: int | float = 2,
+                   max_features: int | None = None, name: str = "tfidf",
+                   terms_col: str | None = None) -> dict[str, TfidfModel]:
+    """One vocabulary per fit set; a set is a list of values of ``group``.
 
-def fit_tfidf_folds(df: DataFrame, fold_col: str, k: int, text: str, id_col: str, analyzer: str = "word",
-                    ngram_range: tuple[int, int] = (1, 2), min_df: int | float = 2,
-                    max_features: int | None = None, name: str = "tfidf",
-                    terms_col: str | None = None) -> list[TfidfModel]:
-    """One vocabulary per fold, each fitted on the rows *outside* that fold.
-
-    Fold algebra: a single ``groupBy(fold, term)`` (map-side combined) gives
-    per-fold document / corpus frequencies; the training statistics of fold
-    i are the totals minus fold i's own. The per-fold table is persisted and
-    each fold then costs one bounded top-k selection, instead of k scans of
-    the term rows.
+    One pass over the texts: ``groupBy(group, term)`` (map-side combined) gives document / corpus frequencies
+    per group, and a set's statistics are the sums over its groups. The table is persisted, and each set then
+    costs one bounded top-k selection instead of a scan of the term rows.
     """
     from pyspark import StorageLevel
 
-    rows = term_rows(df, id_col, text, analyzer, ngram_range, keep=[fold_col], terms_col=terms_col)
-    per_fold = term_stats(rows, [fold_col]).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = term_rows(df, id_col, text, analyzer, ngram_range, keep=[group], terms_col=terms_col)
+    per_group = term_stats(rows, [group]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = {r[fold_col]: int(r["count"]) for r in df.groupBy(fold_col).count().collect()}  # k rows
-        total_docs = sum(sizes.values())
-        totals = per_fold.groupBy("term").agg(F.sum("df").alias("tdf"), F.sum("cf").alias("tcf"))
-        models = []
-        for i in range(k):
-            own = per_fold.filter(F.col(fold_col) == i).select("term", F.col("df").alias("odf"),
-                                                                 F.col("cf").alias("ocf"))
-            st = totals.join(own, "term", "left").select(
-                "term", (F.col("tdf") - F.coalesce("odf", F.lit(0))).alias("df"),
-                (F.col("tcf") - F.coalesce("ocf", F.lit(0))).alias("cf")).filter("df > 0")
-            n_docs = total_docs - sizes.get(i, 0)
+        sizes = {r[group]: int(r["count"]) for r in df.groupBy(group).count().collect()}  # one row per group
+        models = {}
+        for key, groups in sets.items():
+            st = per_group.filter(F.col(group).isin(*groups)).groupBy("term").agg(
+                F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+            n_docs = sum(sizes.get(g, 0) for g in groups)
             got = sorted(select_vocabulary(st, n_docs, min_df, max_features).collect(), key=lambda r: r["term"])
-            models.append(TfidfModel(terms=[r["term"] for r in got], idf=[float(r["idf"]) for r in got],
+            models[key] = TfidfModel(terms=[r["term"] for r in got], idf=[float(r["idf"]) for r in got],
                                      df=[int(r["df"]) for r in got], cf=[int(r["cf"]) for r in got],
-                                     n_docs=n_docs, analyzer=analyzer, ngram_range=tuple(ngram_range), name=name))
+                                     n_docs=n_docs, analyzer=analyzer, ngram_range=tuple(ngram_range), name=name)
         return models
     finally:
-        per_fold.unpersist()
+        per_group.unpersist()
+
+
+def fit_tfidf_folds(df: DataFrame, fold_col: str, k: int, text: str, id_col: str, *args, **kw) -> list[TfidfModel]:
+    """One vocabulary per fold, each fitted on the rows *outside* that fold."""
+    got = fit_tfidf_sets(df, fold_col, {i: [j for j in range(k) if j != i] for i in range(k)}, text, id_col,
+                         *args, **kw)
+    return [got[i] for i in range(k)]
+
+
+@dataclass
+class CountBlock:
+    """Several fitted vocabularies over one sparse count vector per row, indexed by their union: every fit set's
+    TF-IDF block is a slice of the counts times its idf, so texts are cut into terms once."""
+
+    name: str
+    models: dict[str, TfidfModel]
+
+    @property
+    def union(self) -> list[str]:
+        return sorted({t for m in self.models.values() for t in m.terms})
+
+    def count(self, df: DataFrame, text: str) -> DataFrame:
+        """Adds ``{name}_counts``; the union is bounded by sets x max_features."""
+        m = next(iter(self.models.values()))
+        if not self.union:
+            return df.withColumn(f"{self.name}_counts", array_to_vector(F.array().cast("array<double>")))
+        x = with_terms(df, text, "__terms", m.analyzer, m.ngram_range, m.lower)
+        cv = CountVectorizerModel.from_vocabulary(self.union, inputCol="__terms", outputCol=f"{self.name}_counts")
+        return cv.transform(x).drop("__terms")
+
+    def transform(self, df: DataFrame, key: str) -> DataFrame:
+        """Adds ``{name}``: the L2-normalised TF-IDF block of fit set ``key``."""
+        m, tf_col, w_col = self.models[key], f"__{self.name}_tf", f"__{self.name}_w"
+        if not m.terms:
+            return df.withColumn(self.name, array_to_vector(F.array().cast("array<double>")))
+        at = {t: i for i, t in enumerate(self.union)}
+        x = VectorSlicer(inputCol=f"{self.name}_counts", outputCol=tf_col, indices=[at[t] for t in m.terms]).transform(df)
+        x = ElementwiseProduct(scalingVec=Vectors.dense(m.idf), inputCol=tf_col, outputCol=w_col).transform(x)
+        return Normalizer(p=2.0, inputCol=w_col, outputCol=self.name).transform(x).drop(tf_col, w_col)

@@ -16,6 +16,7 @@ independent fits run concurrently.
 
 from __future__ import annotations
 
+import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -74,9 +75,26 @@ class Prepared:
     labels: list[str]
     focus_ids: list[int]
     onehot: EN.OneHotModel
+    word: TF.CountBlock
+    char: TF.CountBlock
     diagnostics: dict
 
 
+def fold_set(k: int, i: int) -> str:
+    """Name of the fit set "labelled train + val rows outside fold i of k"."""
+    return f"not {i} of {k}"
+
+
+def fit_sets(s: Settings) -> dict[str, list[str]]:
+    """Fit set -> its groups. A group is "split|fold" with folds over the least common multiple of the fold
+    counts in use, so a fold of k is the group's fold modulo k."""
+    groups = [(sp, f) for sp in ("train", "val") for f in range(math.lcm(s.cv_folds, s.oof_folds))]
+    sets = {"train": [g for g in groups if g[0] == "train"], "train+val": groups}
+    for k in {s.cv_folds, s.oof_folds}:
+        sets.update({fold_set(k, i): [g for g in groups if g[1] % k != i] for i in range(k)})
+    return {name: [f"{sp}|{f}" for sp, f in gs] for name, gs in sets.items()}
+
+
 def prepare(spark: SparkSession, sf_dir: str, s: Settings) -> Prepared:
     """Stages 1-6: ingest, joins, ANOVA, missing rules, report features, fill."""
     diag: dict = {}
@@ -85,7 +103,14 @@ def prepare(spark: SparkSession, sf_dir: str, s: Settings) -> Prepared:
     cases = js.select("case_id", hash_split(F.col("case_id")).alias("split"), "report",
                       F.col("Overall_class").alias("label"), "n_modalities")
     # clinical LEFT JOIN cases: a clinical row without a case keeps a null report and label
-    frame = J.join_clinical(si.clinical(spark, sf_dir), cases.drop("split")).join(FR.radiomics_merged(spark, sf_dir), "case_id", "left")
+    clinical = si.clinical(spark, sf_dir)
+    # folds of the labelled train + val cases, dealt on narrow rows before the texts are joined
+    known = clinical.filter("split IN ('train', 'val')").select("case_id").distinct().join(
+        cases.filter("label IS NOT NULL").select("case_id", "label"), "case_id")
+    known = known.groupBy("case_id").agg(F.min("label").alias("label"))
+    folds = SA.stratified_folds(known, math.lcm(s.cv_folds, s.oof_folds), s.seed).select("case_id", "fold")
+    clinical = clinical.join(folds, "case_id", "left")
+    frame = J.join_clinical(clinical, cases.drop("split")).join(FR.radiomics_merged(spark, sf_dir), "case_id", "left")
     frame = cut_lineage(frame)  # the statistics passes below all read the joined rows
     t = time.time()
     rad = FR.RAD_COLS
@@ -109,7 +134,7 @@ def prepare(spark: SparkSession, sf_dir: str, s: Settings) -> Prepared:
     # exact name first, as in the reference)
     frame = tx.add_report_features(frame, "report")
     frame = drop_exact(frame, ["Sex"])
-    exclude = {"case_id", "split", "label", "report"}
+    exclude = {"case_id", "split", "label", "report", "fold"}
     categorical = [c for c, t in frame.dtypes if t == "string" and c not in exclude]
     numeric = [c for c, t in frame.dtypes if t != "string" and c not in exclude]
     t = time.time()
@@ -118,46 +143,43 @@ def prepare(spark: SparkSession, sf_dir: str, s: Settings) -> Prepared:
     frame = M.fill_missing(frame, meds, categorical, "report")
     labels = EN.fit_labels(frame.filter("split IN ('train', 'val')"))
     frame = EN.encode_labels(frame, labels, "label", "y")
-    # analyzer terms computed once per case and reused by every vocabulary
-    # fit / transform of the CV, OOF and final stages
-    frame = TF.with_terms(frame, "report", "word_terms", s.word["analyzer"], s.word["ngram_range"])
-    frame = TF.with_terms(frame, "report", "char_terms", s.char["analyzer"], s.char["ngram_range"])
-    frame = cut_lineage(frame)
+    # vocabularies of all fit sets, then one count vector per case over their union; the text ends here
+    known = frame.filter("fold IS NOT NULL").select("case_id", "report", F.concat_ws("|", "split", "fold").alias("grp"))
+    blocks = [TF.CountBlock(n, TF.fit_tfidf_sets(known, "grp", fit_sets(s), "report", "case_id", name=n, **kw))
+              for n, kw in (("word", s.word), ("char", s.char))]
+    for b in blocks:
+        frame = b.count(frame, "report")
+    frame = cut_lineage(frame.drop("report"))
     onehot = EN.fit_one_hot(frame.select(*numeric, *categorical))
-    return Prepared(frame, numeric, categorical, labels, EN.focus_ids(labels, s.focus), onehot, diag)
+    return Prepared(frame, numeric, categorical, labels, EN.focus_ids(labels, s.focus), onehot, *blocks, diag)
 
 
-def featurize(p: Prepared, fit_rows: DataFrame, rows: DataFrame, s: Settings, models=None) -> DataFrame:
-    """[tabular one-hot | word TF-IDF | char TF-IDF] with vocabularies fitted
-    on ``fit_rows`` (or the given (word, char) models); adds ``features``."""
-    if models is None:
-        wm = TF.fit_tfidf(fit_rows, "report", "case_id", name="word", terms_col="word_terms", **s.word)
-        cm = TF.fit_tfidf(fit_rows, "report", "case_id", name="char", terms_col="char_terms", **s.char)
-    else:
-        wm, cm = models
+def featurize(p: Prepared, fit_set: str, rows: DataFrame) -> DataFrame:
+    """[tabular one-hot | word TF-IDF | char TF-IDF] with the vocabularies of ``fit_set``; adds ``features``."""
     x = p.onehot.transform(rows, "tab")
-    x = wm.transform(x, "report", "word", terms_col="word_terms")
-    x = cm.transform(x, "report", "char", terms_col="char_terms")
-    return EN.assemble(x, ["tab", "word", "char"], "features").drop("tab", "word", "char")
+    x = p.char.transform(p.word.transform(x, fit_set), fit_set)
+    return EN.assemble(x, ["tab", "word", "char"], "features").drop("tab", "word", "char", "word_counts", "char_counts")
 
 
-def fit_score(p: Prepared, fit_rows: DataFrame, score_rows: DataFrame, s: Settings, seed: int,
-              models=None) -> DataFrame:
+def fit_features(p: Prepared, fit_set: str, fit_rows: DataFrame, score_rows: DataFrame, s: Settings,
+                 seed: int) -> tuple[DataFrame, DataFrame]:
+    """Fit rows (focus classes upsampled, weighted) and score rows with ``features``. One featurize pass over
+    both; a flag (not a join on the key) tells them apart afterwards."""
+    both = fit_rows.withColumn("_fit", F.lit(True)).unionByName(score_rows.withColumn("_fit", F.lit(False)))
+    feats = cut_lineage(featurize(p, fit_set, both).select("case_id", "split", "label", "y", "features", "_fit"))
+    tr = SA.upsample_wide(feats.filter("_fit").drop("_fit"), [p.labels[i] for i in p.focus_ids], seed=seed)
+    return SA.balanced_weights(tr, "label", "weight"), feats.filter(~F.col("_fit")).drop("_fit")
+
+
+def fit_score(p: Prepared, fit_set: str, fit_rows: DataFrame, score_rows: DataFrame, s: Settings,
+              seed: int) -> DataFrame:
     """Featurize, upsample the focus classes of the fit rows, weight, fit,
     and return ``score_rows`` with ``p`` / ``pred``."""
-    # one featurize pass over fit + score rows; a flag (not a join on the
-    # key) tells them apart afterwards, so the wide vectors never shuffle
-    both = fit_rows.withColumn("_fit", F.lit(True)).unionByName(score_rows.withColumn("_fit", F.lit(False)))
-    feats = featurize(p, fit_rows, both, s, models)
-    feats = cut_lineage(feats.drop("word_terms", "char_terms", "report"))
-    tr = feats.filter("_fit").drop("_fit")
-    tr = SA.upsample_focus(tr, [p.labels[i] for i in p.focus_ids], seed=seed)
-    tr = SA.balanced_weights(tr, "label", "weight")
+    tr, sc = fit_features(p, fit_set, fit_rows, score_rows, s, seed)
     params = dict(s.model_params if s.model_params is not None else DEFAULT_PARAMS[s.model])
     if s.model == "mlp":
         params["n_features"] = len(tr.first()["features"])
     model = MO.fit_classifier(tr, s.model, len(p.labels), params)
-    sc = feats.filter(~F.col("_fit")).drop("_fit")
     return model.predict(sc).select("case_id", "split", "label", "y", "p", "pred")
 
 
@@ -170,16 +192,11 @@ def kfold(p: Prepared, rows: DataFrame, k: int, s: Settings, workers: int | None
     it. Returns the out-of-fold scores and per-fold blend after per-fold
     scale tuning. Folds are independent jobs submitted concurrently from
     driver threads (the scheduler interleaves their stages)."""
-    folds = cut_lineage(SA.stratified_folds(rows.select("case_id", "label"), k, s.seed))
-    rows = rows.join(folds.select("case_id", "fold"), "case_id")
-    # every fold's vocabularies from one aggregation (fold algebra)
-    wms = TF.fit_tfidf_folds(rows, "fold", k, "report", "case_id", name="word", terms_col="word_terms", **s.word)
-    cms = TF.fit_tfidf_folds(rows, "fold", k, "report", "case_id", name="char", terms_col="char_terms", **s.char)
+    rows = rows.withColumn("fold", F.col("fold") % k)
 
     def one(i: int):
-        fit_rows = rows.filter(F.col("fold") != i).drop("fold")
-        val_rows = rows.filter(F.col("fold") == i).drop("fold")
-        scored = cut_lineage(fit_score(p, fit_rows, val_rows, s, s.seed + i + 1, (wms[i], cms[i])))
+        fit_rows, val_rows = rows.filter(F.col("fold") != i), rows.filter(F.col("fold") == i)
+        scored = cut_lineage(fit_score(p, fold_set(k, i), fit_rows, val_rows, s, s.seed + i + 1))
         scales, _, _ = K.tune_scales(scored, len(p.labels), p.focus_ids)
         pred = scored.select("y", K.argmax(K.apply_scales(F.col("p"), scales)).alias("pred"))
         blend = float(ME.summary(ME.confusion(pred), [], p.focus_ids).first()["blend"])
@@ -217,7 +234,7 @@ def run(spark: SparkSession, sf_dir: str, s: Settings | None = None) -> dict:
         return blends, K.tune_scales(cut_lineage(oof), len(p.labels), p.focus_ids)
 
     def val_fit():
-        v = cut_lineage(fit_score(p, _labelled(p.frame, "train"), _labelled(p.frame, "val"), s, s.seed))
+        v = cut_lineage(fit_score(p, "train", _labelled(p.frame, "train"), _labelled(p.frame, "val"), s, s.seed))
         return v, K.tune_scales(v, len(p.labels), p.focus_ids)
 
     def oof_fit():
@@ -225,8 +242,8 @@ def run(spark: SparkSession, sf_dir: str, s: Settings | None = None) -> dict:
         return K.tune_scales(cut_lineage(oof), len(p.labels), p.focus_ids)
 
     def final_fit():
-        return cut_lineage(fit_score(p, _labelled(p.frame, "train", "val"), p.frame.filter("split = 'test'"),
-                                     s, s.seed))
+        return cut_lineage(fit_score(p, "train+val", _labelled(p.frame, "train", "val"),
+                                     p.frame.filter("split = 'test'"), s, s.seed))
 
     t = time.time()
     with ThreadPoolExecutor(max_workers=4) as ex:

@@ -94,3 +94,13 @@ def test_tune_scales_matches_brute_force(spark):
     assert s0 == [1.0] * 4
     base = f1_metrics([r[1] for r in rows], [argmax(apply_scales(r[2], [1.0] * 4)) for r in rows], [])["blend"]
     assert abs(b0 - base) < 1e-12
+
+
+def test_upsample_wide_draws_the_same_rows(spark):
+    rows = [(i, "big") for i in range(40)] + [(100 + i, "r1") for i in range(3)] + [(200 + i // 2, "r2") for i in range(4)]
+    df = spark.createDataFrame(rows, "case_id int, label string").withColumn("x", F.col("case_id") * 2.0).checkpoint()
+    for focus in (["r1", "r2", "absent"], []):
+        a = sorted((r["case_id"], r["label"]) for r in SA.upsample_focus(df, focus, seed=3).collect())
+        b = SA.upsample_wide(df, focus, seed=3).collect()
+        assert a == sorted((r["case_id"], r["label"]) for r in b)
+        assert all(r["x"] == 2.0 * r["case_id"] for r in b)

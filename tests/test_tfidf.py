@@ -48,3 +48,19 @@ def test_fold_algebra_equals_refit(spark):
         ref = tf.fit_tfidf(c.filter(F.col("fold") != i), "report", "case_id", "word", (1, 2), 2, 300)
         assert models[i].terms == ref.terms and models[i].n_docs == ref.n_docs
         assert all(abs(a - b) < 1e-12 for a, b in zip(models[i].idf, ref.idf))
+
+
+def test_count_block_equals_separate_fits(spark):
+    c = si.cases(spark, SF0).select("case_id", "split", "report")
+    sets = {"train": ["train"], "both": ["train", "val"], "none": ["absent"]}
+    for analyzer, rng, top in (("word", (1, 2), 300), ("char_wb", (3, 5), 200)):
+        models = tf.fit_tfidf_sets(c, "split", sets, "report", "case_id", analyzer, rng, 2, top)
+        block = tf.CountBlock("b", models)
+        counted = block.count(c, "report").drop("report")
+        assert models["none"].terms == [] and block.transform(counted, "none").first()["b"].size == 0
+        for key in ("train", "both"):
+            ref = tf.fit_tfidf(c.filter(c["split"].isin(*sets[key])), "report", "case_id", analyzer, rng, 2, top)
+            assert models[key].terms == ref.terms
+            got = {r["case_id"]: r["b"].toArray() for r in block.transform(counted, key).collect()}
+            for r in ref.transform(c, "report", "v").select("case_id", "v").collect():
+                assert abs(got[r["case_id"]] - r["v"].toArray()).max() < 1e-12
