@@ -1,13 +1,18 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped to lines, one for each text block. Elements that are boilerplate by their tag, role
-or name (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) and lines
-that are mostly links give empty lines. Text lengths are summed over sliding windows of ``WIDTH`` lines: a
-stretch of text surges where the sum rises above ``SURGE`` and dives where it falls to zero. The main text is
-the innermost container (article, main, section, division, cell, body) that holds the peaks of all stretches
-(lines of ``SURGE`` or more characters, else a stretch's longest): its borders are the surge and the dive of the page, and all lines between are kept, short ones and those after
-an advert too, with a heading right in front of it. On a page with an article or main element only lines in
-these count. If no sum surges, the stretch around the largest sum decides.
+Markup is stripped to lines, one for each text block. Elements that are boilerplate by their tag or hidden
+(menus, footers, forms, scripts, styles) and lines that are mostly links outside an article give empty lines. Text
+lengths are summed over sliding windows of ``WIDTH`` lines: a stretch of text surges where the sum rises above
+``SURGE`` and dives where it falls to zero.
+
+Candidates are each outermost article, a main element's other text, and elsewhere the stretches whose containers
+share a parent. Each weighs the text of its stretches, ``HINT`` times as much in an article or main element; the
+heaviest holds the main text, with candidates of at least ``SHARE`` of its text (outside articles, where it is an
+article itself, only those with more text). The innermost container of all these is kept whole (an article or main
+element up to its own borders), short lines and those after an advert too, with a heading right in front, but
+without smaller articles (teasers). If no sum surges, the stretch around the largest sum decides.
+
+Elements with a boilerplate name weigh nothing.
 
 Null and empty pages have the empty text. Repeated pages give repeated rows.
 """
@@ -29,6 +34,8 @@ ship_by_value(__name__)
 
 WIDTH = 3
 SURGE = 60
+HINT = 2
+SHARE = 0.5
 # fixed values: HTML element names
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 DROPPED = frozenset(("script style textarea title noscript template iframe xmp noembed noframes head nav footer aside "
@@ -56,58 +63,95 @@ ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?
 SPLIT = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 
-def _boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
+def _named(value: str, in_article: bool) -> bool:
+    """Whether a token of a class, id or role names boilerplate."""
+    for word in value.split():
+        parts = {x.lower() for x in SPLIT.findall(word)}
+        if parts & NAMES or not in_article and parts & HEADER_NAMES:
+            return True
+    return False
+
+
+def _boilerplate(tag: str, attrs: str, in_article: bool) -> int:
+    """2 by tag or hidden, 1 by name, else 0."""
     if tag in DROPPED:
-        return True
+        return 2
     if tag == "header":
-        return not in_article
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+        return 0 if in_article else 2
+    if not attrs or tag in ("html", "body"):
+        return 0
+    named = 0
     for m in ATTR.finditer(attrs):
         name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id", "role"):
-            for word in value.split():
-                parts = {x.lower() for x in SPLIT.findall(word)}
-                if parts & NAMES or not in_article and parts & HEADER_NAMES:
-                    return True
-    return False
+        if tag not in ("article", "main"):
+            if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+                return 2
+            if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+                return 2
+        if name in ("class", "id", "role") and _named(value, in_article):
+            named = 2 if tag not in ("article", "main") else 1
+    return named
 
 
 class Line(NamedTuple):
     text: str  # empty where markup or boilerplate stood
-    article: bool  # inside an article or main element
+    hint: int  # outermost article or main element around it, or 0
+    article: int  # outermost article around it, or 0
     linked: int  # characters of link text
     path: tuple[int, ...]  # open containers, outermost first
+    names: tuple[int, ...]  # open elements with a boilerplate name, outermost first
     heading: bool
 
 
+class Open(NamedTuple):
+    tag: str
+    bad: bool  # boilerplate by tag or hidden
+    name: int  # number of an element with a boilerplate name, or 0
+    hint: int  # number of an article or main element, or 0
+
+
 def lines_of(page: str) -> list[Line]:
     """The page as lines."""
     out: list[Line] = []
-    stack: list[tuple[str, bool]] = []  # open elements and whether each one starts boilerplate
+    stack: list[Open] = []
     parts: list[str] = []
     path: list[int] = []
-    depth = article = links = linked = serial = 0
+    names: list[int] = []
+    hints: list[Open] = []  # open article and main elements
+    depth = links = linked = serial = 0
+
+    def line(text: str, chars: int, heading: bool) -> Line:
+        return Line(text, hints[0].hint if hints else 0, next((x.hint for x in hints if x.tag == "article"), 0),
+                    min(chars, len(text)), tuple(path), tuple(names), heading)
 
     def flush():
         nonlocal parts, linked
-        text = " ".join(entities.unescape("".join(parts)).split())
-        out.append(Line(text, article > 0, min(linked, len(text)), tuple(path), any(x[0] in HEADINGS for x in stack[-3:])))
+        out.append(line(" ".join(entities.unescape("".join(parts)).split()), linked, any(x.tag in HEADINGS for x in stack[-3:])))
         parts, linked = [], 0
 
+    def dive():
+        out.extend([line("", 0, False)] * WIDTH)
+
+    def left(x: Open):
+        nonlocal depth, links
+        depth -= x.bad
+        links -= x.tag == "a"
+        if x.hint:
+            hints.remove(x)
+        if x.name:
+            names.remove(x.name)
+
     def pop_to(k: int):
-        nonlocal depth, article, links
+        inside = depth == 0 and any(x.name for x in stack[k:])
+        if inside:
+            flush()
         while len(stack) > k:
-            tag, bad = stack.pop()
-            depth -= bad
-            article -= tag in ("article", "main")
-            links -= tag == "a"
-            if tag in CONTAINERS:
+            x = stack.pop()
+            left(x)
+            if x.tag in CONTAINERS:
                 path.pop()
+        if inside:
+            dive()
 
     at, n = 0, len(page)
     while at < n:
@@ -128,17 +172,20 @@ def lines_of(page: str) -> list[Line]:
         tag = tag.lower()
         block = tag in BLOCKS
         if close:
-            known = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
+            known = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag), None)
             if block:
                 flush()
             if known is not None:
                 # an inline close does not reach over an open block
-                if block or not any(x[0] in BLOCKS for x in stack[known + 1:]):
+                if block or not any(x.tag in BLOCKS for x in stack[known + 1:]):
                     pop_to(known)
                 else:
-                    bad = stack.pop(known)
-                    depth -= bad[1]  # never a container: those are blocks
-                    links -= tag == "a"
+                    named = depth == 0 and stack[known].name
+                    if named:
+                        flush()
+                    left(stack.pop(known))  # never a container: those are blocks
+                    if named:
+                        dive()
             continue
         if tag == "br":
             if depth == 0:
@@ -149,19 +196,20 @@ def lines_of(page: str) -> list[Line]:
             if tag in CLOSES_P:
                 # a block ends an open paragraph, but not one outside its own container
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
+                    if stack[k].tag == "p":
                         pop_to(k)
                         break
-                    if stack[k][0] in BLOCKS:
+                    if stack[k].tag in BLOCKS:
                         break
             if tag == "li":
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "li":
+                    if stack[k].tag == "li":
                         pop_to(k)
                         break
-                    if stack[k][0] in ("ul", "ol", "menu"):
+                    if stack[k].tag in ("ul", "ol", "menu"):
                         break
-        bad = _boilerplate(tag, attrs or "", article > 0)
+        kind = _boilerplate(tag, attrs or "", bool(hints))
+        bad = kind == 2
         if tag in RAW:
             e = re.compile(r"</" + tag + r"\s*>", re.I).search(page, at)
             at = e.end() if e else n
@@ -170,15 +218,21 @@ def lines_of(page: str) -> list[Line]:
             continue
         if tag in VOID or (attrs or "").rstrip().endswith("/"):
             continue
-        if bad and depth == 0:
+        hint = tag in ("article", "main")
+        named = kind == 1 and not hint and depth == 0
+        if depth == 0 and (bad or named):
             flush()
-            out.extend([Line("", article > 0, 0, tuple(path), False)] * WIDTH)  # boilerplate is a dive
-        stack.append((tag, bad))
+            dive()
+        serial += 1
+        # an article that is named boilerplate itself (a comment, a teaser) is no hint
+        stack.append(Open(tag, bad, serial if named else 0, serial if hint and kind == 0 else 0))
         depth += bad
         if tag in CONTAINERS:
-            serial += 1
             path.append(serial)
-        article += tag in ("article", "main")
+        if stack[-1].hint:
+            hints.append(stack[-1])
+        if named:
+            names.append(serial)
         links += tag == "a"
     flush()
     return out
@@ -214,9 +268,9 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     lines = lines_of(page)
-    inside = any(x.article and x.text for x in lines)
-    # a line of links is a menu, unless an article holds it
-    lengths = [len(x.text) if (x.article if inside else 2 * x.linked <= len(x.text)) else 0 for x in lines]
+    # a line of links is a menu, unless an article or main element holds it
+    whole = [len(x.text) if x.hint or 2 * x.linked <= len(x.text) else 0 for x in lines]
+    lengths = [n if not x.names else 0 for x, n in zip(lines, whole)]
     if not any(lengths):
         return ""
     found = stretches(lengths)
@@ -224,11 +278,8 @@ def extract(page: str | None) -> str:
         sums = block_sums(lengths)
         top = max(range(len(sums)), key=lambda i: (sums[i], -i))
         found = [(top, min(top + WIDTH, len(lines)))]
-    if inside:
-        return "\n".join(x.text for x, n in zip(lines, lengths) if n)
-    peaks = [i for a, z in found for i in range(a, z) if lengths[i] >= min(SURGE, max(lengths[a:z]))]
-    border = _shared([lines[i].path for i in peaks])
-    keep = [n > 0 and x.path[:len(border)] == border for x, n in zip(lines, lengths)]
+    border, small = _main(lines, lengths, found)
+    keep = [n > 0 and x.path[:len(border)] == border and x.article not in small for x, n in zip(lines, lengths)]
     first = keep.index(True)
     before = next((i for i in range(first - 1, -1, -1) if lengths[i]), None)
     if before is not None and lines[before].heading:
@@ -236,6 +287,34 @@ def extract(page: str | None) -> str:
     return "\n".join(x.text for x, k in zip(lines, keep) if k)
 
 
+def _main(lines: list[Line], lengths: list[int], found: list[tuple[int, int]]) -> tuple[tuple[int, ...], set[int]]:
+    """Path of the main text's container, and the articles that are too small to belong to it."""
+    text: dict = {}  # candidate -> characters
+    border: dict = {}  # candidate -> path
+    for a, z in found:
+        plain = []
+        for i in range(a, z):
+            x = lines[i]
+            if lengths[i] and x.hint:
+                key = (True, x.article or x.hint)
+                text[key] = text.get(key, 0) + lengths[i]
+                # the element itself is no container of the path only if it was closed out of order
+                border[key] = x.path[:x.path.index(x.hint) + 1] if x.hint in x.path else x.path
+            elif lengths[i]:
+                plain.append(i)
+        if plain:
+            least = min(SURGE, max(lengths[i] for i in plain))
+            path = _shared([lines[i].path for i in plain if lengths[i] >= least])
+            key = (False, path[:-1])
+            text[key] = text.get(key, 0) + sum(lengths[i] for i in plain)
+            border[key] = _shared([border[key], path]) if key in border else path
+    top = max(text, key=lambda k: (HINT if k[0] else 1) * text[k])  # the first of equals
+    own = {k for k in text if text[k] >= SHARE * text[top] and (k[0] or not top[0] or text[k] > text[top])}
+    path = _shared([border[k] for k in own | {top}])
+    articles = {x.article for x in lines if x.article}
+    return path, articles.difference(k[1] for k in own | {top} if k[0])
+
+
 def _shared(paths: list[tuple[int, ...]]) -> tuple[int, ...]:
     a, z = min(paths), max(paths)
     n = next((i for i, (x, y) in enumerate(zip(a, z)) if x != y), min(len(a), len(z)))

@@ -203,6 +203,15 @@ def test_html_without_article():
     assert html.extract(page % ("word " * 30)) == "Title\n" + ("word " * 30).strip() + "\nShort."
 
 
+def test_html_window_sums_decide_over_tags():
+    w, teaser = "word " * 30, "<article><h3>More</h3><p>A teaser that is longer than sixty characters, as teasers often are.</p></article>"
+    body, text = f"<h1>Title</h1><p>{w}</p><p>Short.</p><p>{w}</p>", f"Title\n{w.strip()}\nShort.\n{w.strip()}"
+    assert html.extract(f"<body><div class=c>{body}</div>{teaser}</body>") == text
+    assert html.extract(f"<body>{2 * teaser}<div class=c>{body}</div>{2 * teaser}</body>") == text
+    assert html.extract(f"<body><main><div>{body}</div><div>{2 * teaser}</div></main></body>") == text
+    assert html.extract(f"<body><article>{body}</article><div>{teaser}</div><div>{w}</div></body>") == text
+
+
 def test_html_odd_input(spark):
     odd = [None, "", "plain text only", "<p>unclosed <b>bold", "<div><p>a</p", "<script>x", "<!-- never ended", "&amp;&#65;&bogus;",
            "<article></article>", "<p>" * 3000 + "deep", "<div>" * 3000 + "deep" + "</div>" * 3000]
