@@ -12,7 +12,11 @@ article itself, only those with more text). The innermost container of all these
 element up to its own borders), short lines and those after an advert too, with a heading right in front, but
 without smaller articles (teasers). If no sum surges, the stretch around the largest sum decides.
 
-Elements with a boilerplate name weigh nothing.
+Elements with a boilerplate name (a class, id or role that ends in a word of ``NAMES``, words like "box" aside,
+unless a word like "has" stands before) are between dives and weigh nothing, unless they hold the page's heaviest
+stretch (of ``LONG`` characters or more, so that an advert does not beat a short article; of ``SURGE`` where nothing
+surges outside and no article or main element has text there), or the heaviest in an article or main element where
+all such text is under a name: those names are overruled, others are not.
 
 Null and empty pages have the empty text. Repeated pages give repeated rows.
 """
@@ -36,6 +40,7 @@ WIDTH = 3
 SURGE = 60
 HINT = 2
 SHARE = 0.5
+LONG = 300
 # fixed values: HTML element names
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 DROPPED = frozenset(("script style textarea title noscript template iframe xmp noembed noframes head nav footer aside "
@@ -55,6 +60,10 @@ NAMES = frozenset(("ad ads adv advert adverts advertisement advertising sponsor
                    "social share sharing related recommended recommendations widget popup modal overlay pagination pager "
                    "toolbar masthead complementary contentinfo search skip login alert").split())
 HEADER_NAMES = frozenset("header topbar".split())
+# fixed values: words after a name that leave it one, and words before it that tell of another element's
+GENERIC = frozenset(("box boxes wrap wrapper container block area section list item items bar panel inner outer unit slot "
+                     "top bottom left right main primary secondary mobile desktop").split())
+STATES = frozenset("has have with without no not is hide hides show shows".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -66,8 +75,10 @@ SPLIT = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 def _named(value: str, in_article: bool) -> bool:
     """Whether a token of a class, id or role names boilerplate."""
     for word in value.split():
-        parts = {x.lower() for x in SPLIT.findall(word)}
-        if parts & NAMES or not in_article and parts & HEADER_NAMES:
+        parts = [x.lower() for x in SPLIT.findall(word)]
+        while len(parts) > 1 and (parts[-1] in GENERIC or parts[-1].isdigit()):
+            parts.pop()
+        if parts and not STATES.intersection(parts[:-1]) and (parts[-1] in NAMES or not in_article and parts[-1] in HEADER_NAMES):
             return True
     return False
 
@@ -89,7 +100,7 @@ def _boilerplate(tag: str, attrs: str, in_article: bool) -> int:
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return 2
         if name in ("class", "id", "role") and _named(value, in_article):
-            named = 2 if tag not in ("article", "main") else 1
+            named = 1
     return named
 
 
@@ -270,7 +281,8 @@ def extract(page: str | None) -> str:
     lines = lines_of(page)
     # a line of links is a menu, unless an article or main element holds it
     whole = [len(x.text) if x.hint or 2 * x.linked <= len(x.text) else 0 for x in lines]
-    lengths = [n if not x.names else 0 for x, n in zip(lines, whole)]
+    overruled = _overruled(lines, whole)
+    lengths = [n if overruled.issuperset(x.names) else 0 for x, n in zip(lines, whole)]
     if not any(lengths):
         return ""
     found = stretches(lengths)
@@ -287,6 +299,32 @@ def extract(page: str | None) -> str:
     return "\n".join(x.text for x, k in zip(lines, keep) if k)
 
 
+def _overruled(lines: list[Line], lengths: list[int]) -> set[int]:
+    """Elements whose boilerplate name does not count. A stretch never crosses the border of a named element."""
+    if not any(x.names for x in lines):
+        return set()
+    best: dict = {}  # (under a name, in an article or main element) -> heaviest stretch
+    for a, z in stretches(lengths, 1):
+        for hint in (True, False):
+            at = [i for i in range(a, z) if lengths[i] and (lines[i].hint > 0) == hint]
+            if at:
+                names, text = lines[at[0]].names, sum(lengths[i] for i in at)
+                key = (bool(names), hint)
+                if key not in best or text > best[key][0]:
+                    best[key] = (text, names)
+    none = (0, ())
+    out = set()
+    if (False, True) not in best:
+        out.update(best.get((True, True), none)[1])
+    weight = {k: (HINT if k[1] else 1) * v[0] for k, v in best.items()}
+    outside = max(weight.get((False, True), 0), weight.get((False, False), 0))
+    k = max([(True, True), (True, False)], key=lambda k: weight.get(k, 0))
+    alone = (False, True) not in best and best.get((False, False), none)[0] < SURGE
+    if weight.get(k, 0) > outside and best[k][0] >= (SURGE if alone else LONG):
+        out.update(best[k][1])
+    return out
+
+
 def _main(lines: list[Line], lengths: list[int], found: list[tuple[int, int]]) -> tuple[tuple[int, ...], set[int]]:
     """Path of the main text's container, and the articles that are too small to belong to it."""
     text: dict = {}  # candidate -> characters

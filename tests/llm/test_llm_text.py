@@ -212,6 +212,19 @@ def test_html_window_sums_decide_over_tags():
     assert html.extract(f"<body><article>{body}</article><div>{teaser}</div><div>{w}</div></body>") == text
 
 
+# the names of the finding, and wrappers whose whole class is a name
+@pytest.mark.parametrize("name", ["content has-sidebar", "layout-with-sidebar", "no-comments", "post-share-enabled", "menu-open",
+                                  "search-results", "social", "widget page"])
+def test_html_names_do_not_drop_the_body(name):
+    w = "word " * 70
+    inner, text = f"<h1>Title</h1><p>{w}</p><div class='ad-box'>Buy this now</div><p>End.</p>", f"Title\n{w.strip()}\nEnd."
+    for tag, attr in (("div", "class"), ("section", "id")):
+        for a, z in (("<article>", "</article>"), ("", "")):
+            assert html.extract(f"<body><div>Site</div><{tag} {attr}='{name}'>{a}{inner}{z}</{tag}></body>") == text
+    for other in ("comments", "sidebar-box", "ad top", "site-nav"):
+        assert html.extract(f"<body><div class=c>{inner}</div><div class='{other}'><p>{w[:200]}</p></div></body>") == text
+
+
 def test_html_odd_input(spark):
     odd = [None, "", "plain text only", "<p>unclosed <b>bold", "<div><p>a</p", "<script>x", "<!-- never ended", "&amp;&#65;&bogus;",
            "<article></article>", "<p>" * 3000 + "deep", "<div>" * 3000 + "deep" + "</div>" * 3000]
