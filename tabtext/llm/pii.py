@@ -185,7 +185,9 @@ def disclosure(docs: DataFrame, scan: DataFrame, terms: DataFrame, text: str = "
     n_t = words.join(pairs.select("term").distinct(), "term", "left_semi")
     total = scan.agg(F.count(F.lit(1)).cast("double").alias("n"))
     n = F.lit(float(total.first()[0]))
-    degree = F.log2(n * F.col("n_tc") / (F.col("n_t") * F.col("n_c"))) / F.log2(n / F.col("n_c"))
+    # an entity of all documents carries no information
+    degree = F.when(F.col("n_c") < n, F.log2(n * F.col("n_tc") / (F.col("n_t") * F.col("n_c"))) / F.log2(n / F.col("n_c"))) \
+        .otherwise(F.lit(0.0))
     return pairs.join(n_c, "entity").join(n_t, "term").withColumn("degree", degree) \
         .where(F.col("degree") >= generalise).select("entity", "term", "degree")
 

@@ -80,6 +80,12 @@ def test_pii_disclosing_terms(spark):
     assert "marwick" not in clean[0] and "[EMAIL]" in clean[0] and "the boss" in clean[0] and clean[10] == text[10]
 
 
+def test_pii_equal_rows(spark):
+    """An entity of all documents carries no information: its spans stay, and no term is its own."""
+    docs = spark.createDataFrame([(i, "contact marwick mail x@corp.example.com") for i in range(4)], "doc_id bigint, text string")
+    assert [(r.n_email, "term" in r.spans) for r in pii.detect(docs).collect()] == [(1, False)] * 4
+
+
 def test_pii_empty(spark):
     assert pii.detect(empty(spark)).count() == 0
 
