@@ -4,13 +4,18 @@ Base spans: leftmost non-overlapping email, ip, card and phone matches of each w
 own, with the checks of ``_valid``. Every distinct valid value (lower-cased; digits only for card and phone)
 is a protected entity.
 
-Information-theoretic sanitisation: a term (a lower-cased word of letters) and an entity co-occur in a
-document if the word lies within ``REACH`` code points of one of the entity's spans there and inside no base
-span. With N documents and document counts n, the term discloses the entity to the degree
-PMI / IC = log2(N * n(t,c) / (n(t) * n(c))) / log2(N / n(c)); it is 1 if the term stands nowhere but with the
-entity, and 0 if it is as frequent everywhere. All counts are over all documents. Pairs seen together in at
-least ``SUPPORT`` documents are generalised to ``[WORD]`` from degree ``GENERALISE`` and removed from degree
-``REMOVE``, beside each span of that entity. Documents without base spans keep every word.
+Information-theoretic sanitisation: a term (a lower-cased word with a letter, outside every base span) and an
+entity co-occur in a document that has both, wherever they stand. With N documents and document counts n, the
+term discloses the entity to the degree PMI / IC = log2(N * n(t,c) / (n(t) * n(c))) / log2(N / n(c)); it is 1
+if the term stands nowhere but with the entity, and 0 if it is as frequent everywhere; an entity of all documents
+carries no information and has no terms. All counts are over all documents, and no number of joint documents is
+asked for (``SUPPORT``): an entity of a single document is disclosed by each word that hardly stands elsewhere.
+A term's degree is its largest over all entities. It is generalised to ``[WORD]`` from degree ``GENERALISE`` and
+removed from degree ``REMOVE`` at each of its places in all documents, also those without base spans.
+
+A pair reaches degree g only if n(t) <= N * (n(c) / N) ** g, so common terms leave before pairs are made. Entities
+of the same documents have the same degrees and are counted as one (their rows' hashes, 128 bits, tell), so a
+document with thousands of entities gives no more pairs than one.
 
 DataFrame functions only. Positions are code points: the pieces between matches come from ``split`` and the
 matches from ``regexp_extract_all`` with one pattern, so running lengths place every match; the sums go by
@@ -21,7 +26,8 @@ of the same length, so that plain character classes express the repetition.
 
 Null and empty texts have no spans; a text's own private-use characters are read as any other symbol. A
 scan's rows are numbered and their narrow results written once, so rows need no id; repeated rows are
-treated alike, null ids stay null, extra columns are ignored.
+treated alike, null ids stay null, extra columns are ignored. For the terms' places a text is cut between words
+into pieces of about ``PIECE`` code points.
 """
 
 from __future__ import annotations
@@ -29,14 +35,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabtext.session import cut_lineage
+from tabtext.session import cut_lineage, written
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 64
-SUPPORT = 3
+SUPPORT = 1
 GENERALISE = 0.75
 REMOVE = 0.9
 GROUP = 64
+PIECE = 48
+COMMON = 1000
 SEP, HYPHEN, DOT = "\ue000", "\ue001", "\ue002"  # a space or hyphen between digits, a dot between labels
 
 _LOCAL = f"[A-Za-z0-9._%+{DOT}{HYPHEN}-]"
@@ -49,7 +56,7 @@ PATTERNS = {
     "phone": rf"\+[0-9][\x20().0-9{SEP}{HYPHEN}{DOT}-]+[0-9]",
 }
 _PART = "0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-WORD = r"\p{L}+"
+WORD = r"[\p{L}\p{M}\p{N}_]+"
 
 
 def marked(text: Column) -> Column:
@@ -129,76 +136,86 @@ def base_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return d.select("doc_id", "text", *KINDS)
 
 
-def _words(text: Column, base: Column) -> Column:
-    """(a, z, term) of the words of a short text that begins at ``base``."""
-    m, g = place(text, WORD)
-    begin = lambda i: (F.aggregate(F.slice(m, F.lit(1), i), F.lit(0), lambda a, y: a + F.char_length(y))
-                       + F.aggregate(F.slice(g, F.lit(1), i + 1), base, lambda a, y: a + y))
-    at = F.transform(m, lambda x, i: F.struct(begin(i).alias("a"), x.alias("w")))
-    return F.transform(at, lambda w: F.struct(w["a"].alias("a"), (w["a"] + F.char_length(w["w"])).alias("z"),
-                                              F.lower(w["w"]).alias("term")))
-
-
-def _around(text: Column, s: Column) -> Column:
-    """Words beside a span: arrays of (a, z, term); words cut by the border of the reach are left out."""
-    la = F.greatest(s["a"] - REACH, F.lit(0))
-    left = F.filter(_words(F.substring(text, la + 1, s["a"] - la), la), lambda w: (w["a"] > la) | (la == 0))
-    right = F.filter(_words(F.substring(text, s["z"] + 1, F.lit(REACH)), s["z"]),
-                     lambda w: (w["z"] < s["z"] + REACH) | (w["z"] == F.char_length(text)))
-    return F.concat(left, right)
-
-
 def _labelled(kind: str, value) -> Column:
     """The kind's spans as (a, z, by)."""
     return F.transform(kind, lambda s: F.struct(s["a"].alias("a"), s["z"].alias("z"), value(s).alias("by")))
 
 
-def _scan(docs: DataFrame, doc_id: str, text: str, with_text: bool) -> DataFrame:
-    """One numbered row per document: its base spans, the words around them; frozen."""
+def _scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One numbered row per document: its text and base spans, written once; ``every``: all spans with entities."""
     d = base_spans(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id())
-    d = d.withColumn("every", F.concat(*[_entities(k) for k in KINDS]))
-    beside = F.transform("every", lambda s: F.struct(s["entity"].alias("entity"), _around(F.col("text"), s).alias("words")))
-    beside = F.when(F.size("every") > 0, beside)
-    d = d.withColumn("beside", beside)
-    return cut_lineage(d.select("row", "doc_id", *KINDS, "every", "beside", *(["text"] if with_text else [])))
+    return written(d.select("row", "doc_id", *KINDS, "text")).withColumn("every", F.concat(*[_entities(k) for k in KINDS]))
 
 
 def _terms(scan: DataFrame) -> DataFrame:
-    """(row, entity, term, a, z) of words beside a span that touch no base span."""
-    e = scan.where(F.size("every") > 0).select("row", "every", F.explode("beside").alias("b")) \
-        .select("row", "every", F.col("b.entity").alias("entity"), F.explode("b.words").alias("w"))
-    free = ~F.exists("every", lambda s: (s["a"] < F.col("w.z")) & (s["z"] > F.col("w.a")))
-    return e.where(free).select("row", "entity", F.col("w.term").alias("term"), F.col("w.a").alias("a"), F.col("w.z").alias("z"))
-
-
-def disclosure(docs: DataFrame, scan: DataFrame, terms: DataFrame, text: str = "text", support: int = SUPPORT,
-               generalise: float = GENERALISE) -> DataFrame:
-    """(entity, term, degree) of pairs at or above ``generalise``."""
-    pairs = terms.select("row", "entity", "term").distinct().groupBy("entity", "term") \
-        .agg(F.count(F.lit(1)).alias("n_tc")).where(F.col("n_tc") >= support)
-    pairs = cut_lineage(pairs)
-    n_c = scan.select(F.explode(F.array_distinct(F.transform("every", lambda s: s["entity"]))).alias("entity")) \
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    # every document's distinct words, counted before anything moves; then only the terms in question
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD), 0))).alias("term")) \
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n_t = words.join(pairs.select("term").distinct(), "term", "left_semi")
-    total = scan.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    n = F.lit(float(total.first()[0]))
-    # an entity of all documents carries no information
-    degree = F.when(F.col("n_c") < n, F.log2(n * F.col("n_tc") / (F.col("n_t") * F.col("n_c"))) / F.log2(n / F.col("n_c"))) \
-        .otherwise(F.lit(0.0))
-    return pairs.join(n_c, "entity").join(n_t, "term").withColumn("degree", degree) \
-        .where(F.col("degree") >= generalise).select("entity", "term", "degree")
+    """(row, term, a, z) of every word with a letter that touches no base span. Arrays that a lambda reads are
+    columns read twice, so that the planner does not put their expressions into the lambda."""
+    add = lambda a, x: a + x
+    total = lambda xs: F.aggregate(xs, F.lit(0), add)
+    group = lambda i: F.floor(i / GROUP).cast("int")
+    p = scan.select("row", "every", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{PIECE}}}{WORD[:-1]}*+"), 0).alias("pieces"))
+    p = p.withColumn("step", F.transform("pieces", F.char_length))
+    p = p.withColumn("groups", F.transform(F.sequence(F.lit(0), group(F.greatest(F.size("step") - 1, F.lit(0)))),
+                                           lambda g: total(F.slice("step", g * GROUP + 1, F.lit(GROUP)))))
+    p = p.withColumn("at", F.when(F.size("groups") > 0, F.transform("pieces", lambda x, i: total(
+        F.slice("groups", F.lit(1), group(i))) + total(F.slice("step", group(i) * GROUP + 1, i % GROUP)))))
+    p = p.select("row", "every", F.explode(F.arrays_zip("at", "pieces")).alias("p")) \
+        .select("row", "every", F.col("p.at").alias("at"), F.col("p.pieces").alias("piece"))
+    z = F.col("at") + F.char_length("piece")
+    near = F.when(F.size("every") > 0, F.filter("every", lambda s: (s["a"] < z) & (s["z"] > F.col("at")))).otherwise(F.col("every"))
+    words, gaps = place(F.col("piece"), WORD)
+    w = p.select("row", "at", near.alias("near"), words.alias("words"), gaps.alias("gaps"))
+    w = w.withColumn("lengths", F.transform("words", F.char_length))
+    begin = lambda i: F.col("at") + total(F.slice("lengths", F.lit(1), i)) + total(F.slice("gaps", F.lit(1), i + 1))
+    w = w.withColumn("begin", F.when((F.size("gaps") > 0) & (F.size("lengths") >= 0), F.transform("words", lambda x, i: begin(i))))
+    w = w.select("row", "near", F.explode(F.arrays_zip("begin", "words")).alias("w")) \
+        .select("row", "near", F.col("w.words").alias("word"), F.col("w.begin").alias("a")) \
+        .select("row", "near", F.lower("word").alias("term"), "a", (F.col("a") + F.char_length("word")).alias("z"))
+    free = (F.size("near") == 0) | ~F.exists("near", lambda s: (s["a"] < F.col("z")) & (s["z"] > F.col("a")))
+    return w.where(free & F.col("term").rlike(r"\p{L}")).select("row", "term", "a", "z")
+
+
+def _limit(n: float, n_c: Column, degree: float) -> Column:
+    """Documents that a term of an entity of ``n_c`` documents can have at most; a little more for rounding."""
+    return F.lit(n) * F.pow(n_c / F.lit(n), F.lit(degree)) * (1 + 1e-9)
+
+
+def disclosure(scan: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
+    """(term, degree) of terms at or above ``generalise``; (term) of common words that are not among them."""
+    with_spans = F.size("every") > 0
+    entities = scan.where(with_spans).select(
+        "row", F.explode(F.array_distinct(F.transform("every", lambda s: s["entity"]))).alias("entity"))
+    n = float(scan.count())
+    hash_of = lambda k: F.bit_xor(F.xxhash64("row", F.lit(k)))
+    by_entity = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"), hash_of(1).alias("x"), hash_of(2).alias("y")) \
+        .where(F.col("n_c") < n)
+    # entities of the same documents are one class
+    classes = cut_lineage(entities.join(by_entity, "entity").select("row", "n_c", "x", "y").distinct())
+    most = classes.agg(F.max("n_c")).first()[0]
+    limit = max(1.0, n * ((most or 1) / max(n, 1.0)) ** generalise * (1 + 1e-9))
+    inside = _terms(scan.where(with_spans)).select("row", "term").distinct()
+    plain = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))
+    words = scan.where(~with_spans).select(F.explode(plain).alias("term")).where(F.col("term").rlike(r"\p{L}"))
+    n_t = cut_lineage(words.unionByName(inside.select("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+                      .where((F.col("n_t") > n / COMMON) | (F.col("n_t") <= limit)))
+    # terms too common for any entity of their document leave before the pairs are made
+    largest = classes.groupBy("row").agg(F.max(_limit(n, F.col("n_c"), generalise)).alias("limit"))
+    common = n_t.where((F.col("n_t") > limit) & (F.col("n_t") > n / COMMON)).select("term")
+    rare = inside.join(F.broadcast(common), "term", "left_anti").join(n_t.where(F.col("n_t") <= limit), "term") \
+        .join(largest, "row").where(F.col("n_t") <= F.col("limit")).select("row", "term", "n_t")
+    pairs = rare.join(classes, "row").where(F.col("n_t") <= _limit(n, F.col("n_c"), generalise)) \
+        .groupBy("n_c", "x", "y", "term", "n_t").agg(F.count(F.lit(1)).alias("n_tc")).where(F.col("n_tc") >= support)
+    degree = F.log2(F.lit(n) * F.col("n_tc") / (F.col("n_t") * F.col("n_c"))) / F.log2(F.lit(n) / F.col("n_c"))
+    found = pairs.groupBy("term").agg(F.max(degree).alias("degree")).where(F.col("degree") >= generalise)
+    return cut_lineage(found), common
 
 
 def annotate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: int = SUPPORT,
              generalise: float = GENERALISE, with_text: bool = False) -> DataFrame:
     """row, doc_id, an array of spans for each kind, and ``term``: (a, z, degree) of disclosing terms."""
-    scan = _scan(docs, doc_id, text, with_text)
-    terms = _terms(scan)
-    found = terms.join(disclosure(docs, scan, terms, text, support, generalise), ["entity", "term"]) \
-        .groupBy("row", "a", "z").agg(F.max("degree").alias("degree")) \
+    scan = _scan(docs, doc_id, text)
+    terms, common = disclosure(scan, support, generalise)
+    found = _terms(scan).join(F.broadcast(common), "term", "left_anti").join(terms, "term") \
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("a", "z", "degree"))).alias("term"))
     return scan.join(found, "row", "left").select("row", "doc_id", *KINDS, "term", *(["text"] if with_text else []))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +63,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     driver loops and freezes any data-dependent physical layout."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the checkpoint folder and return a DataFrame reading it back: like
+    ``cut_lineage``, but compressed, and readable by column."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

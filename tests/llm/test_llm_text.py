@@ -80,6 +80,30 @@ def test_pii_disclosing_terms(spark):
     assert "marwick" not in clean[0] and "[EMAIL]" in clean[0] and "the boss" in clean[0] and clean[10] == text[10]
 
 
+def test_pii_terms_over_whole_documents(spark):
+    """Names far from the address, in one document only, with digits, and in documents without a span."""
+    far = " the desk" * 40
+    rows = [(i, f"mail a@corp.example.com{far} Marwick jane_doe42 the") for i in range(2)]
+    rows += [(2, f"mail b@corp.example.com{far} zorblat +1 (555) 123-4567")]
+    rows += [(3, "of the marwick desk")]
+    rows += [(10 + i, f"mail the desk number 42 nobody {i}") for i in range(60)]
+    docs, text = spark.createDataFrame(rows, "doc_id bigint, text string"), dict(rows)
+    n, got = len(rows), {}
+    words = {d: set(re.findall(r"\w*[^\W\d]\w*", re.sub(r"\S+@\S+", " ", t).lower())) for d, t in rows}
+    want = {d: set() for d in words}
+    for owners in ({0, 1}, {2}):
+        for w in set.union(*words.values()):
+            n_t, n_tc = sum(w in x for x in words.values()), sum(w in words[d] for d in owners)
+            if n_tc and np.log2(n * n_tc / (n_t * len(owners))) / np.log2(n / len(owners)) >= pii.GENERALISE:
+                for d in words:
+                    want[d] |= {w} & words[d]
+    for r in pii.detect(docs).collect():
+        got[r.doc_id] = {text[r.doc_id][int(a):int(z)].lower() for a, z in re.findall(r"term:(\d+):(\d+)", r.spans)}
+    assert got == want and want[0] == {"marwick", "jane_doe42"} and want[2] == {"zorblat"} and want[3] == {"marwick"} and not want[10]
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert not any(re.search("marwick|jane|zorblat", x, re.I) for x in clean.values())
+
+
 def test_pii_equal_rows(spark):
     """An entity of all documents carries no information: its spans stay, and no term is its own."""
     docs = spark.createDataFrame([(i, "contact marwick mail x@corp.example.com") for i in range(4)], "doc_id bigint, text string")
