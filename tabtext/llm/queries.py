@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabtext.llm import decontam, html, langid, mixing, packing, pii, simhash, suffix, tokencount, topk
+from tabtext.llm import decontam, html, langid, lexical, mixing, packing, pii, simhash, suffix, tokencount, topk
 from tabtext.llm import sql as S
 from tabtext.llm.registry import query, table
 
@@ -68,3 +68,9 @@ def op10_token_output(spark, sf_dir):
     """Packed token rows of every document: ids, cumulative segment lengths, restarting positions."""
     return packing.pack(table(spark, sf_dir, "documents")) \
         .withColumn("n_segments", F.size("doc_ids"))
+
+
+@query("op13_ranked_search", S.RANKED_SEARCH)
+def op13_ranked_search(spark, sf_dir):
+    """The 10 best-scoring documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

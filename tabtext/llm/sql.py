@@ -63,3 +63,16 @@ SELECT d.doc_id, CAST(len(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remov
 FROM d LEFT JOIN kept USING (r)"""
 
 PII = None
+
+RANKED_SEARCH = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
+t AS MATERIALIZED (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+q AS MATERIALIZED (SELECT row_number() OVER () AS q, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+qt AS MATERIALIZED (SELECT DISTINCT q, item_id, unnest({_WORDS.format('text')}) AS term FROM q),
+p AS MATERIALIZED (SELECT r, doc_id, n, term, count(*) AS tf FROM
+  (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * max(nd) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, t GROUP BY term),
+i AS (SELECT r, doc_id, p.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l))) AS x FROM p JOIN wt USING (term), t),
+s AS (SELECT q, item_id, r, doc_id, CAST(sum(x) AS BIGINT) AS score FROM i JOIN qt USING (term) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10"""
