@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabtext.llm import decontam, html, langid, lexical, mixing, packing, pii, simhash, suffix, tokencount, topk
+from tabtext.llm import decontam, html, langid, lexical, mixing, packing, pii, prefixtrie, simhash, suffix, tokencount, topk
 from tabtext.llm import sql as S
 from tabtext.llm.registry import query, table
 
@@ -70,6 +70,12 @@ def op10_token_output(spark, sf_dir):
         .withColumn("n_segments", F.size("doc_ids"))
 
 
+@query("op11_prefix_trie", S.PREFIX_TRIE)
+def op11_prefix_trie(spark, sf_dir):
+    """Every node of the trie of the rebuilt conversations."""
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_ranked_search", S.RANKED_SEARCH)
 def op13_ranked_search(spark, sf_dir):
     """The 10 best-scoring documents of every benchmark item."""

@@ -76,3 +76,33 @@ i AS (SELECT r, doc_id, p.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 +
 s AS (SELECT q, item_id, r, doc_id, CAST(sum(x) AS BIGINT) AS score FROM i JOIN qt USING (term) GROUP BY ALL)
 SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
 FROM s WHERE score > 0 QUALIFY rank <= 10"""
+
+_BYTE = "(CASE WHEN k % 8 = 0 THEN xor(a, CAST(ascii(s[CAST(k // 8 + 1 AS BIGINT)]) AS UBIGINT)) ELSE a END)"
+# CRC-32 of a decimal number, bit by bit
+_CRC32 = f"""xor(4294967295::UBIGINT, list_reduce(range(0, 8 * length(s)), lambda a, k:
+  CASE WHEN {_BYTE} & 1 = 1 THEN xor({_BYTE} >> 1, 3988292384::UBIGINT) ELSE {_BYTE} >> 1 END, 4294967295::UBIGINT))"""
+
+PREFIX_TRIE = f"""
+WITH t AS MATERIALIZED (SELECT conv_id, turn, coalesce(text, '') AS text,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d FROM conversations WHERE conv_id IS NOT NULL),
+n AS MATERIALIZED (SELECT conv_id, d, length(text) AS len, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS rn FROM t),
+c AS MATERIALIZED (SELECT conv_id, conv_id - conv_id % 100 AS root, {_CRC32} % 6 AS h FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM n)),
+r AS (SELECT c.conv_id, n.rn, n.d, n.len FROM c JOIN n ON n.conv_id = c.root AND n.rn <= c.h
+      UNION ALL SELECT c.conv_id, n.rn, n.d, n.len FROM c JOIN n ON n.conv_id = c.conv_id AND n.rn > c.h),
+o AS MATERIALIZED (SELECT conv_id, rn, len, row_number() OVER w AS depth, string_agg(d, '') OVER (w ROWS UNBOUNDED PRECEDING) AS path
+      FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY rn)),
+p AS MATERIALIZED (SELECT conv_id, depth, md5(path) AS k, md5(left(path, length(path) - 32)) AS up, len FROM o
+      UNION ALL SELECT conv_id, 0, md5(''), NULL, 0 FROM c),
+e AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+v AS MATERIALIZED (SELECT k, p.depth, min(p.conv_id) AS conv_id, any_value(up) AS up, count(*) AS n_convs, max(len) AS len,
+      sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE e.depth = p.depth), '')) AS ends
+      FROM p JOIN e USING (conv_id) GROUP BY k, p.depth),
+ch AS MATERIALIZED (SELECT up AS k, depth - 1 AS depth, count(*) AS n FROM v WHERE depth > 0 GROUP BY ALL),
+x AS MATERIALIZED (SELECT v.*, coalesce(ch.n, 0) AS n_children FROM v LEFT JOIN ch USING (k, depth)),
+-- each node below each of its ancestors, by one member that passes through both
+b AS (SELECT a.k, a.depth, sum((x.n_convs - 1) * x.len) AS saved, count(*) FILTER (WHERE x.n_children = 0) AS leaves
+      FROM x JOIN p m ON m.conv_id = x.conv_id AND m.depth = x.depth JOIN p a ON a.conv_id = x.conv_id AND a.depth <= x.depth
+      GROUP BY a.k, a.depth)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, x.n_convs, CAST(x.n_children AS BIGINT) AS n_children,
+  CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+FROM x JOIN b USING (k, depth) LEFT JOIN v u ON u.k = x.up AND u.depth = x.depth - 1"""
