@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabtext.llm import decontam, html, langid, lexical, mixing, packing, pii, prefixtrie, simhash, suffix, tokencount, topk
+from tabtext.llm import decontam, gatedlm, html, langid, lexical, mixing, packing, pii, prefixtrie, simhash, suffix, tokencount, topk
 from tabtext.llm import sql as S
 from tabtext.llm.registry import query, table
 
@@ -76,6 +76,12 @@ def op11_prefix_trie(spark, sf_dir):
     return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+@query("op12_lm_score")
+def op12_lm_score(spark, sf_dir):
+    """Log-likelihood of every document, by counts and by the recurrent model."""
+    return gatedlm.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op13_ranked_search", S.RANKED_SEARCH)
 def op13_ranked_search(spark, sf_dir):
     """The 10 best-scoring documents of every benchmark item."""
