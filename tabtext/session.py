@@ -71,3 +71,14 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/written-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``written`` made for ``df``, once nothing reads it any more. Other paths stay."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        name = folder.rsplit("/", 1)[1]
+        if name.startswith("written-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

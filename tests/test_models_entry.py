@@ -1,4 +1,3 @@
-import pytest
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,13 +27,6 @@ def test_models_give_normalised_probabilities(spark):
             assert r["pred"] == r["p"].index(max(r["p"]))
 
 
-def test_gbt_param_translation():
-    g = MO.gbt_params(MO.GBT_FIXED_PARAMS)
-    assert g["maxIter"] == 574 and g["maxDepth"] == 6 and g["minInstancesPerNode"] == 25
-    assert g["subsamplingRate"] == 1.0 and g["featureSubsetStrategy"] == repr(0.9578829278425386)
-    assert MO.gbt_params({"num_leaves": 128, "max_depth": -1})["maxDepth"] == 7
-
-
 def test_importance_top_order(spark):
     top = MO.importance_top(_toy(spark), n=2, trees=5)
     assert len(top) == 2 and len(set(top)) == 2
@@ -89,11 +81,6 @@ def test_merge_modalities_strategies(spark):
         assert J.merge_modalities([dup, b], strategy=strategy).filter("case_id = 2").count() == 2  # SQL fan-out
 
 
-def test_depth_beyond_the_bound_is_an_error():
-    with pytest.raises(ValueError):
-        MO.rf_model(max_depth=31)
-
-
 def _nodes(plan):
     yield plan
     for i in range(plan.children().size()):
