@@ -19,12 +19,13 @@ from __future__ import annotations
 import math
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabtext.functions import text as tx
+from tabtext.operators import boosting as BO
 from tabtext.operators import calibrate as K
 from tabtext.operators import encode as EN
 from tabtext.operators import joins as J
@@ -32,12 +33,14 @@ from tabtext.operators import metrics as ME
 from tabtext.operators import missing as M
 from tabtext.operators import models as MO
 from tabtext.operators import sampling as SA
+from tabtext.operators import search as SE
 from tabtext.operators import stats as ST
 from tabtext.operators import tfidf as TF
+from tabtext.operators import tuning as TU
 from tabtext.plans import frames as FR
 from tabtext.functions.hashing import hash_split
 from tabtext.operators.schema import drop_exact
-from tabtext.session import cut_lineage
+from tabtext.session import cut_lineage, discard
 from tabtext.sources import cases as C
 from tabtext.sources import files as FS
 from tabtext.sources import standins as si
@@ -65,6 +68,8 @@ class Settings:
     char: dict = field(default_factory=lambda: dict(TF.CHAR_DEFAULTS))
     run_cv: bool = True
     run_oof: bool = True
+    search: dict | None = None         # budget of a parameter search (boosted trees), see search_params; None: no search
+    search_cv: dict | None = None      # the same inside each fold of the CV diagnostics
 
 
 @dataclass
@@ -172,10 +177,13 @@ def fit_features(p: Prepared, fit_set: str, fit_rows: DataFrame, score_rows: Dat
 
 
 def fit_score(p: Prepared, fit_set: str, fit_rows: DataFrame, score_rows: DataFrame, s: Settings,
-              seed: int) -> DataFrame:
+              seed: int, search: dict | None = None) -> DataFrame:
     """Featurize, upsample the focus classes of the fit rows, weight, fit,
-    and return ``score_rows`` with ``p`` / ``pred``."""
+    and return ``score_rows`` with ``p`` / ``pred``. With ``search`` the parameters are searched on these rows first."""
     tr, sc = fit_features(p, fit_set, fit_rows, score_rows, s, seed)
+    if search:
+        found = best_params(search_params(tr, sc, len(p.labels), p.focus_ids, seed, **{"name": fit_set, **search}))
+        s = replace(s, model="gbt", model_params=found)
     params = dict(s.model_params if s.model_params is not None else DEFAULT_PARAMS[s.model])
     if s.model == "mlp":
         params["n_features"] = len(tr.first()["features"])
@@ -183,11 +191,36 @@ def fit_score(p: Prepared, fit_set: str, fit_rows: DataFrame, score_rows: DataFr
     return model.predict(sc).select("case_id", "split", "label", "y", "p", "pred")
 
 
+def search_params(tr: DataFrame, sc: DataFrame, n_classes: int, focus: list[int], seed: int, n_trials: int = SE.TRIALS,
+                  n_init: int = SE.INIT_TRIALS, width: int = 1, effort: float = 1.0, name: str = "", folder: str | None = None) -> DataFrame:
+    """Ledger of a search over ``tuning.BOUNDS``; a trial's score is the blend of a boosted fit on ``tr`` over the
+    labelled rows of ``sc``. Rows are binned once for all trials. ``effort`` below 1 gives each trial that share of its rounds, for
+    a cheaper ranking of the candidates."""
+    tr, sc = cut_lineage(tr), cut_lineage(sc.filter("y IS NOT NULL"))
+    data = BO.prepare(tr, n_classes, "features", "y", "weight", MO.row_key(tr))
+
+    def objective(params: dict) -> float:
+        rounds = max(1, round(params["n_estimators"] * effort))
+        model = BO.fit_boosted(tr, n_classes, dict(params, n_estimators=rounds, random_state=seed), data=data)
+        pred = MO.predict_proba(model, sc, n_classes).select("y", "pred")
+        return float(ME.summary(ME.confusion(pred), [], focus).first()["blend"])
+
+    out = SE.model_search(tr.sparkSession, objective, n_trials, n_init, seed, width=width, name=f"{name}|{effort}", folder=folder)
+    discard(data.blocks)
+    return out
+
+
+def best_params(ledger: DataFrame) -> dict:
+    """The parameters of a search's best trial, as the model takes them."""
+    return {k: v for k, v in TU.normalize_params(ledger.filter("best = 1").select(*TU.BOUNDS)).first().asDict().items()}
+
+
 def _labelled(frame: DataFrame, *splits: str) -> DataFrame:
     return frame.filter(F.col("split").isin(*splits) & F.col("y").isNotNull())
 
 
-def kfold(p: Prepared, rows: DataFrame, k: int, s: Settings, workers: int | None = None) -> tuple[DataFrame, list[float]]:
+def kfold(p: Prepared, rows: DataFrame, k: int, s: Settings, workers: int | None = None,
+          search: dict | None = None) -> tuple[DataFrame, list[float]]:
     """Stratified k folds; each fold scored by a model fitted without
     it. Returns the out-of-fold scores and per-fold blend after per-fold
     scale tuning. Folds are independent jobs submitted concurrently from
@@ -196,7 +229,7 @@ def kfold(p: Prepared, rows: DataFrame, k: int, s: Settings, workers: int | None
 
     def one(i: int):
         fit_rows, val_rows = rows.filter(F.col("fold") != i), rows.filter(F.col("fold") == i)
-        scored = cut_lineage(fit_score(p, fold_set(k, i), fit_rows, val_rows, s, s.seed + i + 1))
+        scored = cut_lineage(fit_score(p, fold_set(k, i), fit_rows, val_rows, s, s.seed + i + 1, search))
         scales, _, _ = K.tune_scales(scored, len(p.labels), p.focus_ids)
         pred = scored.select("y", K.argmax(K.apply_scales(F.col("p"), scales)).alias("pred"))
         blend = float(ME.summary(ME.confusion(pred), [], p.focus_ids).first()["blend"])
@@ -219,15 +252,23 @@ def run(spark: SparkSession, sf_dir: str, s: Settings | None = None) -> dict:
     timings["prepare"] = time.time() - t0
     out: dict = {"diagnostics": p.diagnostics, "labels": p.labels, "focus_ids": p.focus_ids}
     cv_rows = _labelled(p.frame, "train", "val")
+    if s.search:  # train fits, validation scores; the best trial's parameters serve all later fits
+        t = time.time()
+        tr, sc = fit_features(p, "train", _labelled(p.frame, "train"), _labelled(p.frame, "val"), s, s.seed)
+        ledger = search_params(tr, sc, len(p.labels), p.focus_ids, s.seed, **s.search)
+        out["trials"], found = ledger, best_params(ledger)
+        out["best_params"] = found
+        timings["search"] = time.time() - t
+        s = replace(s, model="gbt", model_params=found)
 
     # CV diagnostics, the validation fit, the OOF folds and the final refit
     # are independent: run them concurrently. CV and OOF use the same folds
     # (same seed, rows, parameters and upsampling seeds), i.e. the same fits,
     # so with equal fold counts the k fits are made once and serve both.
-    shared = s.run_cv and s.run_oof and s.cv_folds == s.oof_folds
+    shared = s.run_cv and s.run_oof and s.cv_folds == s.oof_folds and not s.search_cv
 
     def cv():
-        return kfold(p, cv_rows, s.cv_folds, s)[1]
+        return kfold(p, cv_rows, s.cv_folds, s, search=s.search_cv)[1]
 
     def cv_and_oof():
         oof, blends = kfold(p, cv_rows, s.cv_folds, s)
