@@ -77,17 +77,34 @@ def place(text: Column, pattern: str) -> tuple[Column, Column]:
             F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x)))
 
 
-def starts(matches: Column, gaps: Column) -> Column:
-    """0-based start of each match: running sums over groups of GROUP matches."""
-    n = F.size(matches)
-    step = F.transform(matches, lambda x, i: F.char_length(x) + F.get(gaps, i))
-    groups = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / GROUP).cast("int")),
-                         lambda g: F.aggregate(F.slice(step, g * GROUP + 1, F.lit(GROUP)), F.lit(0), lambda a, x: a + x))
-    add = lambda a, x: a + x
-    at = F.transform(matches, lambda x, i: F.aggregate(F.slice(groups, F.lit(1), F.floor(i / GROUP).cast("int")), F.lit(0), add)
-                     + F.aggregate(F.slice(step, F.floor(i / GROUP).cast("int") * GROUP + 1, i % GROUP), F.lit(0), add)
-                     + F.get(gaps, i))
-    return F.when(n > 0, at).otherwise(F.array().cast("array<int>"))
+def _total(xs: Column) -> Column:
+    return F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+
+
+def _group(i: Column) -> Column:
+    return F.floor(i / GROUP).cast("int")
+
+
+def group_sums(step: str) -> Column:
+    """Sums of each GROUP consecutive lengths."""
+    return F.transform(F.sequence(F.lit(0), _group(F.greatest(F.size(step) - 1, F.lit(0)))),
+                       lambda g: _total(F.slice(step, g * GROUP + 1, F.lit(GROUP))))
+
+
+def sum_before(step: str, groups: str, i: Column) -> Column:
+    """Sum of the lengths in front of the i-th: whole groups, then the rest of its group."""
+    return _total(F.slice(groups, F.lit(1), _group(i))) + _total(F.slice(step, _group(i) * GROUP + 1, i % GROUP))
+
+
+def with_starts(d: DataFrame, kind: str) -> DataFrame:
+    """Column a_: 0-based start of each match. Every array that a lambda reads is a column of its own and read
+    twice, so that the planner does not compute it anew inside the lambda."""
+    m, g, s, t = (x + kind for x in ("m_", "g_", "s_", "t_"))
+    none = F.array().cast("array<int>")
+    d = d.withColumn(s, F.when((F.size(g) > 0) & (F.size(m) > 0), F.transform(m, lambda x, i: F.char_length(x) + F.get(g, i))).otherwise(none))
+    d = d.withColumn(t, group_sums(s))
+    return d.withColumn("a_" + kind, F.when((F.size(t) > 0) & (F.size(s) > 0) & (F.size(g) > 0), F.transform(
+        m, lambda x, i: sum_before(s, t, i) + F.get(g, i))).otherwise(none))
 
 
 def _digits(value: Column) -> Column:
@@ -130,7 +147,7 @@ def base_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         d = d.withColumn("m_" + k, m)
         d = d.withColumn("g_" + k, F.when(F.size("m_" + k) > 0, g).otherwise(F.array().cast("array<int>")))
     for k in KINDS:
-        d = d.withColumn("a_" + k, starts(F.col("m_" + k), F.col("g_" + k)))
+        d = with_starts(d, k)
     for k in KINDS:
         d = d.withColumn(k, _valid_spans(k))
     return d.select("doc_id", "text", *KINDS)
@@ -150,15 +167,10 @@ def _scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def _terms(scan: DataFrame) -> DataFrame:
     """(row, term, a, z) of every word with a letter that touches no base span. Arrays that a lambda reads are
     columns read twice, so that the planner does not put their expressions into the lambda."""
-    add = lambda a, x: a + x
-    total = lambda xs: F.aggregate(xs, F.lit(0), add)
-    group = lambda i: F.floor(i / GROUP).cast("int")
     p = scan.select("row", "every", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{PIECE}}}{WORD[:-1]}*+"), 0).alias("pieces"))
     p = p.withColumn("step", F.transform("pieces", F.char_length))
-    p = p.withColumn("groups", F.transform(F.sequence(F.lit(0), group(F.greatest(F.size("step") - 1, F.lit(0)))),
-                                           lambda g: total(F.slice("step", g * GROUP + 1, F.lit(GROUP)))))
-    p = p.withColumn("at", F.when(F.size("groups") > 0, F.transform("pieces", lambda x, i: total(
-        F.slice("groups", F.lit(1), group(i))) + total(F.slice("step", group(i) * GROUP + 1, i % GROUP)))))
+    p = p.withColumn("groups", group_sums("step"))
+    p = p.withColumn("at", F.when(F.size("groups") > 0, F.transform("pieces", lambda x, i: sum_before("step", "groups", i))))
     p = p.select("row", "every", F.explode(F.arrays_zip("at", "pieces")).alias("p")) \
         .select("row", "every", F.col("p.at").alias("at"), F.col("p.pieces").alias("piece"))
     z = F.col("at") + F.char_length("piece")
@@ -166,7 +178,7 @@ def _terms(scan: DataFrame) -> DataFrame:
     words, gaps = place(F.col("piece"), WORD)
     w = p.select("row", "at", near.alias("near"), words.alias("words"), gaps.alias("gaps"))
     w = w.withColumn("lengths", F.transform("words", F.char_length))
-    begin = lambda i: F.col("at") + total(F.slice("lengths", F.lit(1), i)) + total(F.slice("gaps", F.lit(1), i + 1))
+    begin = lambda i: F.col("at") + _total(F.slice("lengths", F.lit(1), i)) + _total(F.slice("gaps", F.lit(1), i + 1))
     w = w.withColumn("begin", F.when((F.size("gaps") > 0) & (F.size("lengths") >= 0), F.transform("words", lambda x, i: begin(i))))
     w = w.select("row", "near", F.explode(F.arrays_zip("begin", "words")).alias("w")) \
         .select("row", "near", F.col("w.words").alias("word"), F.col("w.begin").alias("a")) \

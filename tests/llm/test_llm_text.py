@@ -61,6 +61,15 @@ def test_pii_base_spans(spark, which):
     assert Counter((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == want
 
 
+def test_pii_many_matches_in_one_text(spark):
+    """20,000 matches of each kind in a text: placed in linear time, as by brute force."""
+    n = 20_000
+    text = " ; ".join(f"u{i}@ex{i}.com 10.{i % 250}.{i // 250}.7 +1 555 {1000000 + i}, 4111 1111 1111 1111" for i in range(n))
+    r = pii.base_spans(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    for kind in pii.KINDS:
+        assert [(s.a, s.z) for s in r[kind]] == [(a, z) for k, a, z in base_spans(text) if k == kind] and len(r[kind]) >= n
+
+
 def test_pii_disclosing_terms(spark):
     rows = [(i, f"contact marwick the boss mail x{i % 2}@corp.example.com or the desk") for i in range(6)]
     rows += [(10 + i, "the boss or the desk mail nobody") for i in range(60)]
