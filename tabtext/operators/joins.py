@@ -27,29 +27,24 @@ def merge_modalities(frames: Sequence[DataFrame], how: str = "full", key: str =
     """Merge per-modality wide frames on ``key``.
 
     * ``join``  - chained joins (``how``), SQL fan-out on duplicate keys.
-    * ``union`` - one shuffle: union of the frames padded with nulls, then
-      ``groupBy(key)`` taking each column's non-null value. That equals the
-      full outer join only when every frame has at most one row per key, which
-      is checked on the keys first; otherwise the joins are made.
+    * ``union`` - one shuffle for all frames: the union of the frames, one list
+      of rows a frame and key, and inside each key the product of the lists (an
+      absent frame gives nulls). Equals the chained full outer join, duplicate
+      keys included. Keys are not null (P6).
     """
     if strategy == "union":
         if how != "full":
             raise ValueError("union strategy implements the full outer merge")
-        if not keys_unique(frames, key):
-            return merge_modalities(frames, how, key, "join")
-        cols = [c for f in frames for c in f.columns if c != key]
-        u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-        return u.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+        names = [f"_f{i}" for i in range(len(frames))]
+        wide = [f.select(key, F.struct(*[c for c in f.columns if c != key]).alias(n)) for n, f in zip(names, frames)]
+        u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), wide)
+        x = u.groupBy(key).agg(*[F.collect_list(n).alias(n) for n in names])
+        for n in names:
+            x = x.withColumn(n, F.explode_outer(n))
+        return x.select(key, *[F.col(n)[c].alias(c) for n, f in zip(names, frames) for c in f.columns if c != key])
     return reduce(lambda a, b: a.join(b, key, how), frames)
 
 
-def keys_unique(frames: Sequence[DataFrame], key: str = "case_id") -> bool:
-    """True when no frame repeats a key (one aggregate over keys only)."""
-    tagged = reduce(lambda a, b: a.unionByName(b),
-                    [f.select(key, F.lit(i).alias("_f")) for i, f in enumerate(frames)])
-    return tagged.groupBy("_f", key).count().filter("count > 1").limit(1).count() == 0
-
-
 def lookup_vector(base: DataFrame, vectors: DataFrame, dim: int, key: str = "case_id",
                   vec_key: str = "vec_id", vec: str = "vec", out: str = "vec") -> DataFrame:
     """Dense vector per row by key, zeros(dim) when absent."""

@@ -45,15 +45,15 @@ def anova(long: DataFrame, feature: str = "feature", value: str = "value", label
     when both are 0 (constant column) or the feature has no values.
     """
     x = long.filter(F.col(label).isNotNull()).select(feature, label, F.col(value).cast("double").alias("_x"))
+    # per (feature, class): moments of the observed values + count of filled ones; the fill joins these few rows
+    g = x.groupBy(feature, label).agg(
+        F.count("_x").alias("n1"), F.avg("_x").alias("m1"), F.var_pop("_x").alias("v1"),
+        (F.count(F.lit(1)) - F.count("_x")).alias("n0"))
     if fill_median:
         med = medians if medians is not None else exact_medians(x, [feature], "_x")
-        x = x.join(F.broadcast(med.select(feature, F.col("median").alias("_m"))), feature, "left")  # one row per feature
+        g = g.join(med.select(feature, F.col("median").alias("fill")), feature, "left")
     else:
-        x = x.withColumn("_m", F.lit(None).cast("double"))
-    # per (feature, class): moments of the observed values + count of filled ones
-    g = x.groupBy(feature, label).agg(
-        F.count("_x").alias("n1"), F.avg("_x").alias("m1"), F.var_pop("_x").alias("v1"),
-        (F.count(F.lit(1)) - F.count("_x")).alias("n0"), F.first("_m").alias("fill"))
+        g = g.withColumn("fill", F.lit(None).cast("double"))
     n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
     has_fill = F.col("fill").isNotNull() & (F.col("n0") > 0)
     nk = F.when(has_fill, n1 + n0).otherwise(n1)

@@ -89,3 +89,13 @@ def test_f_distribution_tail():
     for f, d2 in [(0.5, 7), (4.2, 30), (12.0, 3)]:
         assert abs(f_sf(f, 2, d2) - (1 + 2 * f / d2) ** (-d2 / 2)) < 1e-10
     assert f_sf(float("inf"), 3, 9) == 0.0 and math.isnan(f_sf(float("nan"), 3, 9))
+
+
+def test_f_tail_of_many_rows():
+    """A billion rows: more than ten thousand terms, and the limit of the chi-squared tail."""
+    import math
+
+    from tabtext.functions.fdist import betainc, f_sf
+
+    assert abs(f_sf(3.0, 2.0, 1e9) - math.exp(-3.0)) < 1e-6
+    assert abs(betainc(5e8, 5e8, 0.5) - 0.5) < 1e-5

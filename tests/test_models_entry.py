@@ -74,11 +74,15 @@ def test_merge_modalities_strategies(spark):
     j = sorted(tuple(r) for r in J.merge_modalities([a, b], strategy="join").collect())
     u = sorted(tuple(r) for r in J.merge_modalities([a, b], strategy="union").select("case_id", "a", "b").collect())
     assert j == u == [(1, 1.0, None), (2, 2.0, 20.0), (3, None, 30.0)]
-    assert J.keys_unique([a, b])
+    c = spark.createDataFrame([(2, "x"), (2, "y"), (4, None)], "case_id int, c string")
     dup = a.unionByName(a)
-    assert not J.keys_unique([dup, b])
-    for strategy in ("join", "union"):
-        assert J.merge_modalities([dup, b], strategy=strategy).filter("case_id = 2").count() == 2  # SQL fan-out
+    for frames in ([dup, b, c], [c, dup], [b, c, a, dup.withColumnRenamed("a", "z")]):
+        j = J.merge_modalities(frames, strategy="join")
+        u = J.merge_modalities(frames, strategy="union")
+        assert j.columns == u.columns
+        assert sorted(map(str, j.collect())) == sorted(map(str, u.collect()))  # SQL fan-out
+    plan = J.merge_modalities([dup, b, c], strategy="union")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def _nodes(plan):
