@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tabtext.llm.common import fresh_name
 from tabtext.operators.ranking import row_number_within
+from tabtext.session import written
 
 BLOCK = 16
 SCALE = 1000
@@ -67,20 +68,22 @@ def default_weights(docs: DataFrame, source: str = "source") -> dict:
 
 
 def schedule(docs: DataFrame, weights: dict | None = None, doc_id: str = "doc_id", source: str = "source",
-             block: int = BLOCK, seed: str = "mix") -> DataFrame:
+             block: int = BLOCK, seed: str = "mix", row: str | None = None) -> DataFrame:
     """Row per row of ``docs``: doc_id, source, block (from 0), slot, position (slot * block + place in
-    the block). Order inside a source: md5 of seed and doc_id, then doc_id."""
+    the block). Order inside a source: md5 of seed and doc_id, then doc_id, then the column ``row``, which is kept."""
     spark = docs.sparkSession
     if weights is None:
         weights = default_weights(docs, source)
     elif missing := set(source_counts(docs, source)) - set(weights):
         raise ValueError(f"sources without a weight: {sorted(map(str, missing))[:10]}")
-    d = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"))
+    kept = [] if row is None else [F.col(row).alias("_row")]
+    d = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), *kept)
+    kept = [] if row is None else ["_row"]
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     ranked = row_number_within(d.withColumn("_s", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-                               .withColumn("_k", key), ["_s"], ["_k", "doc_id"])
+                               .withColumn("_k", key), ["_s"], ["_k", "doc_id", *kept])
     if not weights:
-        return ranked.select("doc_id", "source", F.lit(0).cast("bigint").alias("block"),
+        return ranked.select(*kept, "doc_id", "source", F.lit(0).cast("bigint").alias("block"),
                              F.lit(0).cast("bigint").alias("slot"), F.lit(0).cast("bigint").alias("position")).limit(0)
     length, seen, rows = sum(weights.values()), dict.fromkeys(weights, 0), []
     for t, s in enumerate(period(weights)):
@@ -93,19 +96,17 @@ def schedule(docs: DataFrame, weights: dict | None = None, doc_id: str = "doc_id
         .withColumn("_i", F.col("block") % F.col("_a")) \
         .join(F.broadcast(slots.drop("_a", "_l")), ["_s", "_i"]) \
         .withColumn("slot", F.expr("block div _a") * F.col("_l") + F.col("_t")) \
-        .select("doc_id", "source", "block", "slot",
+        .select(*kept, "doc_id", "source", "block", "slot",
                 (F.col("slot") * block + (F.col("rn") - 1) % block).alias("position"))
 
 
 def mix(docs: DataFrame, weights: dict | None = None, doc_id: str = "doc_id", source: str = "source",
         block: int = BLOCK) -> DataFrame:
     """All rows and columns of ``docs``, range-partitioned and sorted by their place in the mix, so that
-    files written from it hold the mix in order. Rows of one (doc_id, source) share the first place."""
-    s = schedule(docs, weights, doc_id, source, block).groupBy("doc_id", "source") \
-        .agg(F.min("position").alias("position"))
-    d, q, p = fresh_name(docs, "_mix_d"), fresh_name(docs, "_mix_s"), fresh_name(docs, "_mix_p")
-    s = s.select(F.col("doc_id").alias(d), F.col("source").alias(q), F.col("position").alias(p))
-    cols = [docs[c] for c in docs.columns]
-    on = docs[doc_id].cast("bigint").eqNullSafe(s[d]) & docs[source].cast("string").eqNullSafe(s[q])
+    files written from it hold the mix in order. Rows are numbered and written once, so every row has a place of its
+    own, also where ids are null or repeated, and a task that runs again sees the same numbers."""
+    r, p = fresh_name(docs, "_mix_r"), fresh_name(docs, "_mix_p")
+    t = written(docs.withColumn(r, F.monotonically_increasing_id()))
+    s = schedule(t, weights, doc_id, source, block, row=r).select(F.col("_row").alias(r), F.col("position").alias(p))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.join(s, on, "left").select(*cols, p).repartitionByRange(n, p).sortWithinPartitions(p).drop(p)
+    return t.join(s, r).select(*docs.columns, p).repartitionByRange(n, p).sortWithinPartitions(p).drop(p)

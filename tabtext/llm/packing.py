@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabtext.llm import tokens
-from tabtext.llm.common import ship_by_value, small_batches
+from tabtext.llm.common import fresh_name, ship_by_value, small_batches
 
 ship_by_value(__name__)
 
@@ -88,6 +89,7 @@ def _emit(segments, length: int, eod: int, dtype: str, base: int):
     full = [i for i, x in enumerate(segments) if len(x[2]) == length]
     rest = [i for i, x in enumerate(segments) if len(x[2]) < length]
     rows = [[i] for i in full] + [[rest[k] for k in r] for r in best_fit_decreasing([len(segments[i][2]) for i in rest], length)]
+    rows.sort(key=min)  # in the order of their first documents
     for at in range(0, len(rows), 1024):
         part = rows[at:at + 1024]
         ids, pos, cum = [], [], []
@@ -150,6 +152,18 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
     return src.mapInArrow(run, SCHEMA)
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """Rows of a Parquet table in the order they were written: by file name (its partition), then row. A frame that is
+    no table read from files keeps the order it has."""
+    f, r = fresh_name(docs, "_file"), fresh_name(docs, "_row")
+    try:
+        x = docs.select("*", F.col("_metadata.file_name").alias(f), F.col("_metadata.row_index").alias(r))
+    except AnalysisException:
+        return docs
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return x.repartitionByRange(n, f, r).sortWithinPartitions(f, r).drop(f, r)
+
+
 def write(packed: DataFrame, path: str) -> None:
     """Store packed rows as Parquet; Spark's committer makes the write safe against lost executors."""
     packed.write.parquet(path)

@@ -57,3 +57,38 @@ def test_pipeline_on_empty_table(spark):
     for _, stage in C.STAGES:
         at = stage(spark, at, SF0)
     assert at.count() == 0
+
+
+def test_pipeline_keeps_the_mix_in_the_token_rows(spark):
+    """Stages through Parquet: the first documents of packed rows follow the mix, so every prefix has each source's share."""
+    import corpus_pipeline as C
+    from tabtext.llm import mixing, packing
+    from tabtext.session import written
+
+    rows = [(i, f"word{i} " * (1 + 40 * (i % 3)), "en", "abc"[min(2, i // 400)], 1) for i in range(900)]
+    docs = written(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(7))
+    mixed = written(C.mix(spark, docs, SF0))
+    order = [r.source for r in packing.in_file_order(mixed).collect()]
+    weights = mixing.default_weights(docs)
+    total = sum(weights.values())
+    full = min(sum(1 for r in rows if r[3] == s) * total / w for s, w in weights.items())  # until a source runs dry
+    for n in range(mixing.BLOCK, int(full), 7):
+        for s, w in weights.items():
+            assert abs(order[:n].count(s) - n * w / total) <= 2 * mixing.BLOCK
+    place = {}
+    for k, r in enumerate(packing.in_file_order(mixed).collect()):
+        place.setdefault(r.doc_id, k)
+    packed = C.token_output(spark, mixed, SF0).orderBy("row_id").collect()
+    firsts = [min(place[d] for d in r.doc_ids) for r in packed]
+    assert firsts == sorted(firsts)
+
+
+def test_mixing_rows_without_ids(spark):
+    """Rows with null or repeated ids have places of their own."""
+    from tabtext.llm import mixing
+
+    rows = [(None, f"a{i}", "a") for i in range(200)] + [(7, f"b{i}", "b") for i in range(200)] + [(None, "same", "c")] * 200
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)).collect()
+    assert sorted(map(str, got)) == sorted(str(r) for r in spark.createDataFrame(rows, "doc_id bigint, text string, source string").collect())
+    runs = max(len(list(g)) for _, g in __import__("itertools").groupby(got, key=lambda r: r.source))
+    assert runs <= 2 * mixing.BLOCK
