@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabtext.llm import decontam, langid, mixing, packing, simhash
 from tabtext.llm.registry import table
-from tabtext.session import cut_lineage
+from tabtext.session import written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +39,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed token rows; every token of every document is in exactly one of them."""
-    return packing.pack(docs)
+    """Packed token rows, in the order of the mix as its files hold it; every token of every document is in exactly
+    one of them."""
+    return packing.pack(packing.in_file_order(docs))
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination),
@@ -55,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = cut_lineage(docs)
+            docs = written(docs)
     return docs
