@@ -44,6 +44,8 @@ REMOVE = 0.9
 GROUP = 64
 PIECE = 48
 COMMON = 1000
+BITS = 1 << 27  # of the bitmap of disclosing terms that goes to every task: 16 MB at most
+CHUNK = 1 << 15  # bits to a row of it
 SEP, HYPHEN, DOT = "\ue000", "\ue001", "\ue002"  # a space or hyphen between digits, a dot between labels
 
 _LOCAL = f"[A-Za-z0-9._%+{DOT}{HYPHEN}-]"
@@ -192,8 +194,8 @@ def _limit(n: float, n_c: Column, degree: float) -> Column:
     return F.lit(n) * F.pow(n_c / F.lit(n), F.lit(degree)) * (1 + 1e-9)
 
 
-def disclosure(scan: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
-    """(term, degree) of terms at or above ``generalise``; (term) of common words that are not among them."""
+def disclosure(scan: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+    """(term, degree) of terms at or above ``generalise``."""
     with_spans = F.size("every") > 0
     entities = scan.where(with_spans).select(
         "row", F.explode(F.array_distinct(F.transform("every", lambda s: s["entity"]))).alias("entity"))
@@ -219,15 +221,29 @@ def disclosure(scan: DataFrame, support: int = SUPPORT, generalise: float = GENE
         .groupBy("n_c", "x", "y", "term", "n_t").agg(F.count(F.lit(1)).alias("n_tc")).where(F.col("n_tc") >= support)
     degree = F.log2(F.lit(n) * F.col("n_tc") / (F.col("n_t") * F.col("n_c"))) / F.log2(F.lit(n) / F.col("n_c"))
     found = pairs.groupBy("term").agg(F.max(degree).alias("degree")).where(F.col("degree") >= generalise)
-    return cut_lineage(found), common
+    return cut_lineage(found)
+
+
+def _bit() -> dict[str, Column]:
+    """A term's place in the bitmap."""
+    h = F.pmod(F.xxhash64("term"), F.lit(BITS))
+    return {"chunk": F.floor(h / CHUNK).cast("int"), "bit": (h % CHUNK).cast("int")}
+
+
+def _bitmap(terms: DataFrame) -> DataFrame:
+    """One bit for the hash of each disclosing term, CHUNK to a row: words without a bit leave before they are moved."""
+    return terms.withColumns(_bit()).groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def annotate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: int = SUPPORT,
              generalise: float = GENERALISE, with_text: bool = False) -> DataFrame:
     """row, doc_id, an array of spans for each kind, and ``term``: (a, z, degree) of disclosing terms."""
     scan = _scan(docs, doc_id, text)
-    terms, common = disclosure(scan, support, generalise)
-    found = _terms(scan).join(F.broadcast(common), "term", "left_anti").join(terms, "term") \
+    terms = disclosure(scan, support, generalise)
+    places = _terms(scan).withColumns(_bit()).join(F.broadcast(_bitmap(terms)), "chunk")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    places = places.where(F.floor(byte / F.pow(F.lit(2), F.col("bit") % 8)).cast("int") % 2 == 1).select("row", "term", "a", "z")
+    found = places.join(terms, "term") \
         .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("a", "z", "degree"))).alias("term"))
     return scan.join(found, "row", "left").select("row", "doc_id", *KINDS, "term", *(["text"] if with_text else []))
 
