@@ -71,7 +71,6 @@ class Windows:
         self.hashes = h
         self.words = [lower[a:b] for a, b in zip(s.tolist(), e.tolist())]
         self.shingle = [min(shingle, x) for x in self.length]
-        self.prefix_at: list[int] = []
 
     def shingles(self) -> dict[int, np.ndarray]:
         """Distinct shingle hashes by shingle length."""
@@ -83,19 +82,25 @@ class Windows:
         return {k: np.array(sorted(v), np.uint64) for k, v in out.items()}
 
     def order_by_rarity(self, counts: dict[tuple[int, int], int]) -> None:
-        """Prefix of each window: the offset of its rarest shingle (ties: the first)."""
-        self.prefix_at, self.by_len = [], {}
+        """Windows of equal words become one, with the set of their items. Each hangs on its prefix, its rarest shingle
+        (ties: the first): shingle -> (place in the window, window length) -> hash of the whole window -> windows."""
+        self.owners: dict[int, set[int]] = {}
+        by_len: dict[int, dict] = {}
+        first: dict[tuple, int] = {}
         for w in range(len(self.item)):
-            k, a = self.shingle[w], self.start[w]
-            hs = sequence_hashes(self.hashes[a:a + self.length[w]], k).tolist()
+            k, a, size = self.shingle[w], self.start[w], self.length[w]
+            same = first.setdefault((size, b" ".join(self.words[a:a + size])), w)
+            self.owners.setdefault(same, set()).add(self.item[w])
+            if same != w:
+                continue
+            hs = sequence_hashes(self.hashes[a:a + size], k).tolist()
             o = min(range(len(hs)), key=lambda i: (counts.get((k, hs[i]), 0), i))
-            self.prefix_at.append(o)
-            self.by_len.setdefault(k, {}).setdefault(hs[o], []).append(w)
+            whole = int(sequence_hashes(self.hashes[a:a + size], size)[0])
+            by_len.setdefault(k, {}).setdefault(hs[o], {}).setdefault((o, size), {}).setdefault(whole, []).append(w)
         self.index = {}
-        for k, m in self.by_len.items():
+        for k, m in by_len.items():
             keys = HashSet64(np.array(list(m), np.uint64))
-            lists = [m[int(x)] for x in keys.keys]
-            self.index[k] = (keys, lists)
+            self.index[k] = (keys, [m[int(x)] for x in keys.keys])
 
 
 def _count_pass(windows_by_len: dict[int, np.ndarray]):
@@ -132,27 +137,28 @@ def _scan(win: Windows, data: np.ndarray, off: np.ndarray):
         last = np.append(first[1:], len(s))
         n_words[i:j] = last - first
         doc = np.searchsorted(o, s, "right") - 1
-        lower = None
-        for k, (keys, lists) in win.index.items():
+        lower, whole = None, {}
+        for k, (keys, groups) in win.index.items():
             at, num = keys.find(sequence_hashes(h, k))
             for p, key in zip(at.tolist(), num.tolist()):
                 q = int(doc[p])
-                for w in lists[key]:
-                    a, size = p - win.prefix_at[w], win.length[w]  # position: one alignment
+                for (o, size), windows in groups[key].items():
+                    a = p - o  # position: one alignment
                     if a < first[q] or a + size > last[q]:  # length: the window has to fit
                         continue
-                    ws = win.start[w]
-                    if not np.array_equal(h[a:a + size], win.hashes[ws:ws + size]):
-                        continue
-                    if lower is None:
-                        lower = _tables()[1][d].tobytes()
-                    if any(lower[s[a + x]:e[a + x]] != win.words[ws + x] for x in range(size)):
-                        continue
-                    if hits[i + q] is None:
-                        hits[i + q], found[i + q] = [], set()
-                    hits[i + q].append((a - int(first[q]), a - int(first[q]) + size))
-                    found[i + q].add(win.item[w])
-    return n_words, hits, found
+                    if size not in whole:
+                        whole[size] = sequence_hashes(h, size)
+                    for w in windows.get(int(whole[size][a]), ()):
+                        if lower is None:
+                            lower = _tables()[1][d].tobytes()
+                        ws = win.start[w]
+                        if any(lower[s[a + x]:e[a + x]] != win.words[ws + x] for x in range(size)):
+                            continue
+                        if hits[i + q] is None:
+                            hits[i + q], found[i + q] = [], set()
+                        hits[i + q].append((a - int(first[q]), a - int(first[q]) + size))
+                        found[i + q].add(w)
+    return n_words, hits, [w and set().union(*(win.owners[x] for x in w)) for w in found]
 
 
 def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -295,3 +295,20 @@ def test_decontamination_brute_force(spark):
     assert r[7].n_hit == 11 and r[7].items_sha256 == decontam.digest_of([10]) and not r[3].contaminated
     assert decontam.report(empty(spark), bench).count() == 0
     assert not any(x.contaminated for x in decontam.report(docs, bench.limit(0)).collect())
+
+
+def test_decontamination_of_a_hot_window(spark):
+    """800 items share their first window, and all their windows share a shingle: work does not grow with their number."""
+    import time
+
+    shared = "the very same ten words stand in all these items"
+    items = [(i, f"{shared} x{i} the very same y{i} z{i} a b c d") for i in range(800)]
+    docs = [(1, " ".join([shared] * 500)), (2, f"{shared} x5 the very same y5"), (3, "the very same " * 1500), (4, None)]
+    win = decontam.Windows([(str(i), t) for i, t in items], 10, 3)
+    win.order_by_rarity({})
+    data, off = __import__("tabtext.llm.common", fromlist=["x"]).text_buffers(__import__("pyarrow").array([t for _, t in docs]))
+    began = time.time()
+    n_words, hits, found = decontam._scan(win, data, off)
+    assert time.time() - began < 3
+    assert n_words.tolist() == [5000, 15, 4500, 0] and found[0] == set(range(800)) == found[1] and found[2:] == [None, None]
+    assert len(hits[0]) == 500 and sorted(hits[1]) == [(k, k + 10) for k in range(6)]
