@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,10 +104,14 @@ def schedule(docs: DataFrame, weights: dict | None = None, doc_id: str = "doc_id
 def mix(docs: DataFrame, weights: dict | None = None, doc_id: str = "doc_id", source: str = "source",
         block: int = BLOCK) -> DataFrame:
     """All rows and columns of ``docs``, range-partitioned and sorted by their place in the mix, so that
-    files written from it hold the mix in order. Rows are numbered and written once, so every row has a place of its
-    own, also where ids are null or repeated, and a task that runs again sees the same numbers."""
+    files written from it hold the mix in order. Every row has a place of its own, also where ids are null or repeated: rows
+    of a table are told apart by file and row number, those of other frames are numbered and written once, so a task that
+    runs again sees the same."""
     r, p = fresh_name(docs, "_mix_r"), fresh_name(docs, "_mix_p")
-    t = written(docs.withColumn(r, F.monotonically_increasing_id()))
+    try:
+        t = docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")).alias(r))
+    except AnalysisException:
+        t = written(docs.withColumn(r, F.monotonically_increasing_id()))
     s = schedule(t, weights, doc_id, source, block, row=r).select(F.col("_row").alias(r), F.col("position").alias(p))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return t.join(s, r).select(*docs.columns, p).repartitionByRange(n, p).sortWithinPartitions(p).drop(p)
