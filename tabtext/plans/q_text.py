@@ -118,8 +118,8 @@ def word_ngrams(spark, sf_dir):
 SELECT term, CAST(count(*) AS BIGINT) AS df, CAST(sum(n) AS BIGINT) AS cf FROM tf GROUP BY term""")
 def char_wb_ngrams(spark, sf_dir):
     """V3 + G11: char_wb 3-5-gram document and corpus frequency over all cases."""
-    rows = tf.term_rows(si.cases(spark, sf_dir, with_label=False), "case_id", "report", "char_wb", (3, 5))
-    return tf.term_stats(rows).select("term", F.col("df").cast("bigint").alias("df"),
+    stats = tf.text_term_stats(si.cases(spark, sf_dir, with_label=False), "case_id", "report", "char_wb", (3, 5))
+    return stats.select("term", F.col("df").cast("bigint").alias("df"),
                                       F.col("cf").cast("bigint").alias("cf"))
 
 
