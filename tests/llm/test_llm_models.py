@@ -283,3 +283,17 @@ def test_terms_that_never_meet_are_skipped_as_a_pair():
     least = int(seg.high.sum())
     assert seg.joint.tolist() == [0]
     assert seg.search(np.array([[0, 1, 0]]), least)[2] == 0 < seg.search(np.array([[0, -1, -1], [1, -1, -1]]), least)[2]
+
+
+def test_lm_training_reads_every_token():
+    """The blocks that go to training hold all tokens of all texts, also of words across block borders, in one round each."""
+    import types
+
+    import pyarrow as pa
+
+    texts = ["ab cd " * 3000, "x" * 20000 + " y", "", "one two"]
+    words = words_of([1, 1], 2)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([5, 6, 7, 8], pa.int64())], names=["text", "key"])
+    out = pa.Table.from_batches(list(gatedlm._numbers(types.SimpleNamespace(value=words), 4, 3)(iter([batch]))))
+    assert sum(map(len, out["ids"].to_pylist())) == sum(len(t.split()) + 1 for t in texts)
+    assert set(out["round"].to_pylist()) <= {0, 1, 2}
