@@ -297,3 +297,24 @@ def test_lm_training_reads_every_token():
     out = pa.Table.from_batches(list(gatedlm._numbers(types.SimpleNamespace(value=words), 4, 3)(iter([batch]))))
     assert sum(map(len, out["ids"].to_pylist())) == sum(len(t.split()) + 1 for t in texts)
     assert set(out["round"].to_pylist()) <= {0, 1, 2}
+
+
+def test_lm_works_on_many_documents_at_once():
+    """Blocks for training are cut for all documents of a chunk together, and documents of several batches are scored side by side."""
+    import types
+
+    import pyarrow as pa
+
+    words = words_of([1, 1], 2)
+    texts, keys = ["a b"] * 500, list(range(500))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(keys, pa.int64())], names=["text", "key"])
+    out = list(gatedlm._numbers(types.SimpleNamespace(value=words), 4, 3)(iter([batch])))
+    assert len(out) == 1 and out[0].num_rows == 500
+    model, calls = gatedlm.GatedLM.fresh(words, embed=3, hidden=4, size=2), []
+    whole = types.SimpleNamespace(score=lambda y, off: calls.append(len(off) - 1) or model.score(y, off))
+    batches = [pa.RecordBatch.from_arrays([pa.array([i, i + 1]), pa.array([t, "é w " * i])], names=["rid", "text"]) for i, t in ((0, "a b"), (2, None), (4, ""))]
+    out = pa.Table.from_batches(list(gatedlm._score(types.SimpleNamespace(value=(words, whole)))(iter(batches)))).to_pylist()
+    end = words.find(np.array([gatedlm.END]))[0]
+    assert calls == [6] and [r["rid"] for r in out] == [0, 1, 2, 3, 4, 5]
+    assert [r["n_tokens"] for r in out] == [3, 1, 1, 5, 1, 9]
+    assert all(math.isclose(r["model_ln"], model.score(np.append(np.full(r["n_tokens"] - 1, 2), end), np.array([0, r["n_tokens"]]))[0], rel_tol=1e-5) for r in out)
