@@ -27,6 +27,24 @@ def test_models_give_normalised_probabilities(spark):
             assert r["pred"] == r["p"].index(max(r["p"]))
 
 
+def test_network_scores_blocks_of_rows(spark):
+    """Probabilities of the network are those of pyspark.ml, whose model scores a row at a time and is not run."""
+    df = _toy(spark)
+    m = MO.fit_classifier(df, "mlp", 4, {"n_features": 3, "hidden": (4, 3), "max_iter": 20})
+    more = [Vectors.sparse(3, []), Vectors.sparse(3, [0, 2], [1e4, -1e4]), Vectors.dense([0.0, -2.5, 7.0]), Vectors.sparse(3, [1], [0.5])]
+    more = spark.createDataFrame([(i, i, more[i % 4], None) for i in range(1300)], df.schema)
+    x = df.union(more).repartition(3)
+    want = {r["case_id"]: r for r in m.model.transform(x.filter("weight IS NULL")).collect()}
+    got = m.predict(x).filter("weight IS NULL").collect()
+    assert len(got) == len(want) == 1300
+    for r in got:
+        w = want[r["case_id"]]
+        assert r["pred"] == w["prediction"] and max(abs(a - b) for a, b in zip(r["p"], w["probability"])) < 1e-9
+    assert m.predict(x.filter("case_id < 0")).count() == 0
+    plan = m.predict(x)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "probability" not in plan
+
+
 def test_importance_top_order(spark):
     top = MO.importance_top(_toy(spark), n=2, trees=5)
     assert len(top) == 2 and len(set(top)) == 2
