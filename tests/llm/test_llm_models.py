@@ -129,6 +129,19 @@ def test_gradients_are_those_of_the_loss():
             assert abs((loss[0] - loss[1]) / 2e-5 - grad[k][at]) < 2e-4, (k, at)  # states are kept in single precision
 
 
+@pytest.mark.filterwarnings("error")
+def test_rows_of_a_window_are_apart_in_the_cache():
+    for kind, line in ((np.float32, 16), (np.float64, 8)):
+        for size in (1, 640, 1024, 5120):
+            x = gatedlm.GatedLM._room(3, size, kind)
+            assert x.shape == (3, size) and x.dtype == kind
+            assert x.strides[0] % 64 == 0 and x.strides[0] // 64 % 2 == 1 and x.strides[0] < 4 * (size + 2 * line) * (16 // line)
+            assert np.shares_memory(x, x.reshape(3, size // 1, 1))  # steps and lanes are a view
+    x = np.array([-1e4, -90, 0, 90, 1e4], np.float32)
+    gatedlm.GatedLM._sigmoid(x)
+    assert np.allclose(x, [0, 0, 0.5, 1, 1])
+
+
 def test_state_is_carried_through_whole_documents():
     w = words_of([50, 40, 30, 9, 7, 5, 2], 6)
     m = gatedlm.GatedLM.fresh(w, embed=3, hidden=4, size=2)
