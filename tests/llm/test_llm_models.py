@@ -331,3 +331,38 @@ def test_lm_works_on_many_documents_at_once():
     assert calls == [6] and [r["rid"] for r in out] == [0, 1, 2, 3, 4, 5]
     assert [r["n_tokens"] for r in out] == [3, 1, 1, 5, 1, 9]
     assert all(math.isclose(r["model_ln"], model.score(np.append(np.full(r["n_tokens"] - 1, 2), end), np.array([0, r["n_tokens"]]))[0], rel_tol=1e-5) for r in out)
+
+
+def test_lm_pass_learns_from_every_token(monkeypatch):
+    """Also from those that lanes of equal length leave over."""
+    w = words_of([50, 40, 30, 9, 7, 5, 2], 6)
+    for n, lanes, window in ((103, 4, 5), (7, 4, 5), (100, 4, 5), (3, 32, 20), (1, 4, 5)):
+        m, seen = gatedlm.GatedLM.fresh(w, embed=3, hidden=4, size=2), []
+        real = m.gradients
+        monkeypatch.setattr(m, "gradients", lambda x, y, go, h: seen.append((x.copy(), y.copy(), go.copy())) or real(x, y, go, h))
+        y = np.random.default_rng(n).integers(0, 7, n)
+        m.train([y[:n // 3], y[n // 3:]], 0.01, lanes, window)
+        assert sorted(np.concatenate([v.ravel() for _, v, _ in seen])) == sorted(y)
+        assert sum((go == 0).sum() for *_, go in seen) == 1 + (n // 3 > 0)
+        x = np.concatenate(([m.n + 1], y[:-1]))
+        x[n // 3] = m.n + 1
+        assert sorted(np.concatenate([v.ravel() for v, *_ in seen])) == sorted(x)
+
+
+def test_lm_rounds_read_all_tokens_of_a_large_corpus(spark, monkeypatch):
+    def counts(model, rate, lanes=32):
+        def run(pdf):
+            import pandas as pd
+
+            v = model.value.flat().astype(np.float64) + sum(map(len, pdf["ids"]))
+            v = np.pad(v, (0, -len(v) % 4096)).reshape(-1, 4096)
+            return pd.DataFrame({"block": np.arange(len(v), dtype=np.int32), "v": list(v)})
+
+        return run
+
+    monkeypatch.setattr(gatedlm, "WIDE_TOKENS", 20)
+    monkeypatch.setattr(gatedlm, "_round", counts)
+    words = words_of([30, 60], 2)
+    texts = spark.createDataFrame([("a b", i) for i in range(30)], "text string, key bigint")
+    gain = gatedlm.fit(texts, words).flat() - gatedlm.GatedLM.fresh(words).flat()
+    assert np.allclose(gain[:1000], 90 * len(gatedlm.RATES), atol=1e-3)  # of the embedding
