@@ -64,3 +64,20 @@ def test_count_block_equals_separate_fits(spark):
             got = {r["case_id"]: r["b"].toArray() for r in block.transform(counted, key).collect()}
             for r in ref.transform(c, "report", "v").select("case_id", "v").collect():
                 assert abs(got[r["case_id"]] - r["v"].toArray()).max() < 1e-12
+
+
+def test_word_grams_counted_by_token_numbers(spark, monkeypatch):
+    """The same statistics as term by term, in pieces of a few tokens, with groups, repeated rows and empty texts."""
+    from tabtext.functions import ngrams as N
+
+    monkeypatch.setattr(N, "HELD_TOKENS", 3)
+    texts = ["Aa bb aa bb cc", None, "", "x y", "été ÉTÉ naïve_1", "bb aa", "bb aa", "aa", "ábc aa, bb!"]
+    rows = [(i % 5, ("u", None, "v")[i % 3], t) for i, t in enumerate(texts * 2)]
+    df = spark.createDataFrame(rows, "case_id int, g string, report string").repartition(3)
+    for lo, hi in ((1, 2), (1, 1), (2, 2)):
+        for group in ([], ["g"]):
+            want = tf.term_stats(tf.term_rows(df, "case_id", "report", "word", (lo, hi), keep=group), group)
+            got = tf.text_term_stats(df, "case_id", "report", "word", (lo, hi), group)
+            assert got.dtypes == want.dtypes
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+            assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
