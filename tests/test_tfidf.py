@@ -81,3 +81,29 @@ def test_word_grams_counted_by_token_numbers(spark, monkeypatch):
             assert got.dtypes == want.dtypes
             assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
             assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_char_grams_of_many_words_at_once(spark, monkeypatch):
+    """Windows over all words give the n-grams of each word, also in pieces, with groups, repeated rows, empty texts and odd characters."""
+    from tabtext.functions import ngrams as N
+
+    words = ["a", "bb", "ccc", "ab!c", "été", "naïve_1", "\U0001F600x\U0001F600", "\u0000z", "abcabcabc"]
+    for lo, hi in ((3, 5), (3, 3), (2, 4), (4, 6)):
+        terms, off, numbers = N.grams_of_words(words, lo, hi)
+        assert len(set(terms)) == len(terms)
+        for i, w in enumerate(words):
+            assert sorted(terms[j] for j in numbers[off[i]:off[i + 1]]) == sorted(N.grams_of_word(w, lo, hi))
+    monkeypatch.setattr(N, "HELD_WORDS", 4)
+    monkeypatch.setattr(N, "HELD_GRAMS", 10)
+    texts = ["Aa bb aa  bb\tcc", None, "", " ", "x y", "été ÉTÉ naïve_1 " + "\U0001F600" * 3, "bb aa", "bb aa", "aa", "ábc aa, bb!"]
+    rows = [(i % 5, ("u", None, "v")[i % 3], t) for i, t in enumerate(texts * 2)]
+    df = spark.createDataFrame(rows, "case_id int, g string, report string").repartition(3)
+    for group in ([], ["g"]):
+        want = tf.term_stats(tf.term_rows(df, "case_id", "report", "char_wb", (3, 5), keep=group), group)
+        got = tf.text_term_stats(df, "case_id", "report", "char_wb", (3, 5), group)
+        assert got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+    voc = sorted({r["term"] for r in want.collect()})[::2]
+    a, b = (tf.with_counts(x, "report", "v", voc, "char_wb", (3, 5), terms_col=c).select("report", "v").collect()
+            for x, c in ((df, None), (tf.with_terms(df, "report", "terms", "char_wb", (3, 5)), "terms")))
+    assert sorted(map(str, a)) == sorted(map(str, b))
